@@ -24,7 +24,7 @@ from rivalry.operators.skew import (
     with_keys,
     without_keys,
 )
-from rivalry.session import ensure_checkpoint_dir
+from rivalry.session import stored
 
 CHUNK = "__chunk"
 ROW = "__row"
@@ -125,8 +125,7 @@ def _by_chunks(
     )
     # The chunk numbers come from a sampled range partitioning: store them once, so that
     # both uses below, and any task run again after a lost executor, see the same ones.
-    ensure_checkpoint_dir(df.sparkSession)
-    rows = rows.checkpoint()
+    rows = stored(rows)
     local = _local_scan(rows, order, scan)
     carry = _carry_over(local, scan)
     joined = local.join(carry, [HOT_ID, CHUNK], "left")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivalry.session import ensure_checkpoint_dir
+from rivalry.session import stored
 
 # Rows of one key that a single task may sort. A key above it is cut into chunks.
 HOT_ROWS = 2_000_000
@@ -34,13 +34,12 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame
     )
     if hot.isEmpty():
         return None
-    ensure_checkpoint_dir(df.sparkSession)
     numbered = hot.select(
         *[F.col(k).alias(_hot(k)) for k in keys],
         HOT_COUNT,
         F.monotonically_increasing_id().alias(HOT_ID),
     )
-    return numbered.checkpoint()
+    return stored(numbered)
 
 
 def _same_keys(keys: list[str]) -> Column:

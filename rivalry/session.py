@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "rivalry", master: str | None = None, **conf) -> SparkSession:
@@ -41,3 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="rivalry-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder, for results that several jobs read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
