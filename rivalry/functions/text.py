@@ -13,6 +13,12 @@ PLACE_ANY = r".*, .*"
 # Replacements that make a category name, applied in this order.
 CATEGORY_REPLACEMENTS = [(" - ", "_"), ("/", "_"), (" ", "_"), ("'", "")]
 
+# The characters that count as white space at the ends of a text.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def quoted(name: str) -> Column:
     """The column of that exact name, also if the name holds dots."""
@@ -59,4 +65,4 @@ def drop_inner_spaces(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim any white space, line breaks and no-break spaces included."""
-    return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))

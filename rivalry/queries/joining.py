@@ -158,10 +158,10 @@ def q_frontier(spark, sf):
 
 
 def q_complement(spark, sf):
-    """Customers without an order."""
-    customers = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
-    orders = V.table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"))
-    return complement(customers, orders, ["custkey"])
+    """Orders without a line."""
+    orders = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), "o_custkey")
+    lines = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"))
+    return complement(orders, lines, ["key"])
 
 
 QUERIES = {
@@ -213,6 +213,6 @@ on l_orderkey = o_orderkey""",
 select contest_id, a.s_name entity_name, b.s_name opponent_name
 from pairs join supplier a on a.s_suppkey = entity_id join supplier b on b.s_suppkey = opponent_id""",
     "q_frontier": "select doc_id from documents except select doc_id from labels",
-    "q_complement": "select c_custkey custkey, c_name from customer "
-    "where not exists (select 1 from orders where o_custkey = c_custkey)",
+    "q_complement": "select o_orderkey as \"key\", o_custkey from orders "
+    "where not exists (select 1 from lineitem where l_orderkey = o_orderkey)",
 }

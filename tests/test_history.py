@@ -1,0 +1,129 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rivalry.operators.history import (
+    Scan,
+    fill_within,
+    first_per_group,
+    latest_per_group,
+    running,
+)
+
+DAY = dt.date(2020, 1, 1)
+
+
+def histories(spark, seed=7, rows=400):
+    """Random histories: one key with half of all rows, a null key, same-day ties, nulls."""
+    rng = random.Random(seed)
+    data = []
+    for i in range(rows):
+        key = rng.choice(["hot"] * 6 + [None, "a", "b", "c", "d", "e"])
+        day = None if rng.random() < 0.02 else DAY + dt.timedelta(days=rng.randrange(60))
+        value = None if rng.random() < 0.4 else float(rng.randrange(100))
+        data.append((i, key, day, rng.random() < 0.5, value))
+    return spark.createDataFrame(data, "id int, key string, day date, flag boolean, x double"), data
+
+
+def the_scan():
+    return Scan(
+        sums={"wins": F.col("flag").cast("int"), "n": F.lit(1), "total": F.col("x")},
+        means={"mean": F.col("x")},
+        last={"last": F.col("x")},
+        first={"first": F.col("x")},
+        rolling={f"last{n}": (F.col("flag").cast("int"), n) for n in (1, 3, 20)},
+        streaks={"streak": F.col("flag"), "losses": ~F.col("flag")},
+    )
+
+
+def by_hand(data):
+    out = {}
+    keys = {d[1] for d in data}
+    for key in keys:
+        own = sorted((d for d in data if d[1] == key), key=lambda d: (d[2] is None, d[2] or DAY, d[0]))
+        known = [d[4] for d in own if d[4] is not None]
+        for i, d in enumerate(own):
+            past = own[: i + 1]
+            xs = [p[4] for p in past if p[4] is not None]
+
+            def streak(value):
+                n = 0
+                for p in reversed(past):
+                    if p[3] is not value:
+                        break
+                    n += 1
+                return n
+
+            out[d[0]] = (
+                sum(p[3] for p in past),
+                i + 1,
+                sum(xs) if xs else None,
+                sum(xs) / len(xs) if xs else None,
+                xs[-1] if xs else None,
+                known[0] if known else None,
+                *[sum(p[3] for p in past[-n:]) for n in (1, 3, 20)],
+                streak(True),
+                streak(False),
+            )
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [None, 2_000_000, 100, 30, 7])
+def test_running_matches_hand(spark, hot_rows):
+    """Plain windows and every size of chunk give the same values."""
+    df, data = histories(spark)
+    got = running(df, ["key"], ["day", "id"], the_scan(), hot_rows).collect()
+    assert len(got) == len(data)
+    want = by_hand(data)
+    for row in got:
+        values = [row[c] for c in the_scan().outputs()]
+        assert values == pytest.approx(list(want[row["id"]])), row
+
+
+def test_one_exchange_and_no_python(spark):
+    df, _ = histories(spark)
+    plan = running(df, ["key"], ["day", "id"], the_scan(), None)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Sort [") == 1
+    assert "Python" not in text and "Pandas" not in text
+
+
+def test_empty_history(spark):
+    df, _ = histories(spark)
+    got = running(df.where("false"), ["key"], ["day", "id"], the_scan())
+    assert got.count() == 0 and set(the_scan().outputs()) <= set(got.columns)
+
+
+@pytest.mark.parametrize("hot_rows", [None, 20])
+@pytest.mark.parametrize("backward", [True, False])
+def test_fill_within(spark, rows, hot_rows, backward):
+    data = [
+        (1, "a", 1, None), (2, "a", 2, 5.0), (3, "a", 3, None), (4, "a", 4, 7.0), (5, "a", 5, None),
+        (6, "b", 1, None), (7, "c", 1, 3.0),
+    ]
+    data += [(100 + i, "hot", i, float(i) if i % 9 == 4 else None) for i in range(60)]
+    df = spark.createDataFrame(data, "id int, key string, day int, x double")
+    got = dict(rows(fill_within(df, ["key"], ["day"], ["x"], backward, hot_rows), "id", "x"))
+    lead = 5.0 if backward else None
+    assert [got[i] for i in range(1, 8)] == [lead, 5.0, 5.0, 7.0, 7.0, None, 3.0]
+    assert got[100] == (4.0 if backward else None)
+    assert got[112] == 4.0 and got[113] == 13.0 and got[159] == 58.0
+
+
+@pytest.mark.parametrize("hot_rows", [None, 10])
+def test_latest_keeps_ties(spark, rows, hot_rows):
+    data = [(1, "a", 1), (2, "a", 3), (3, "a", 3), (4, "b", 2), (5, "c", None)]
+    data += [(100 + i, "hot", i // 10) for i in range(40)]
+    df = spark.createDataFrame(data, "id int, key string, day int")
+    got = [r[0] for r in rows(latest_per_group(df, ["key"], "day", hot_rows), "id")]
+    assert sorted(got) == [2, 3, 4, *range(130, 140)]
+
+
+def test_first_per_group(spark, rows):
+    df = spark.createDataFrame([(1, "a", 2), (2, "a", 1), (3, "b", 5)], "id int, key string, day int")
+    got = first_per_group(df, ["key"], ["day"])
+    assert rows(got, "id") == [(2,), (3,)]
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
