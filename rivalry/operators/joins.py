@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivalry.functions.text import quoted
+from rivalry.operators.encode import require_all
 from rivalry.operators.history import Scan, running
 from rivalry.operators.skew import HOT_ROWS, hot_keys, with_keys, without_keys
 from rivalry.operators.skew import HOT_ID
@@ -174,7 +175,7 @@ def two_sided_asof(
     """
     features = [c for c in history.columns if c not in (entity, time)]
     renamed = {c: c.replace(*side) for c in features}
-    opposing = history.dropna("any")
+    opposing = require_all(history)
 
     keyed = previous_time(
         contests, history, entity, time, "__own", hot_rows=hot_rows
@@ -190,9 +191,7 @@ def two_sided_asof(
         F.col(time).cast(same_type).alias("__opposing"),
         *[F.col(c).alias(renamed[c]) for c in features],
     )
-    return (
-        keyed.join(own_rows, [entity, "__own"])
-        .dropna("any")
-        .join(opposing_rows, [opponent, "__opposing"])
-        .select(*contests.columns, *features, *renamed.values())
+    own = require_all(keyed.join(own_rows, [entity, "__own"]))
+    return own.join(opposing_rows, [opponent, "__opposing"]).select(
+        *contests.columns, *features, *renamed.values()
     )
