@@ -17,8 +17,7 @@ HEX_ID = r"^[0-9a-fA-F]{1,16}$"
 
 def _group(text: Column, pattern: str, index: int, to: str) -> Column:
     """One capture group as a number, null where the pattern is absent."""
-    found = F.regexp_extract(text, pattern, index)
-    return F.when(found != "", found).cast(to)
+    return F.regexp_extract(text, pattern, index).try_cast(to)
 
 
 def parse_percent(text: Column, strict: bool = True) -> Column:

@@ -64,9 +64,14 @@ def running(
     order: list[str],
     scan: Scan,
     hot_rows: int | None = HOT_ROWS,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
-    """``df`` with the outputs of ``scan``. ``hot_rows=None`` skips the check for hot keys."""
-    hot = hot_keys(df, keys, hot_rows) if hot_rows is not None else None
+    """``df`` with the outputs of ``scan``. ``hot_rows=None`` skips the check for hot keys.
+
+    ``bound`` is a table that is cheaper to count and has at least as many rows per key.
+    """
+    counted = df if bound is None else bound
+    hot = hot_keys(counted, keys, hot_rows) if hot_rows is not None else None
     if hot is None:
         return _by_window(df, keys, order, scan)
     cold = _by_window(without_keys(df, hot, keys), keys, order, scan)
@@ -123,10 +128,9 @@ def _by_chunks(
         .repartitionByRange(parts, F.col(HOT_ID), *ordering(order))
         .withColumn(CHUNK, F.spark_partition_id())
     )
-    # The chunk numbers come from a sampled range partitioning: store them once, so that
-    # both uses below, and any task run again after a lost executor, see the same ones.
-    rows = stored(rows)
-    local = _local_scan(rows, order, scan)
+    # The chunk numbers come from a sampled range partitioning: store the scanned chunks once,
+    # so that both uses below see the same numbers and none scans or shuffles the rows again.
+    local = stored(_local_scan(rows, order, scan))
     carry = _carry_over(local, scan)
     joined = local.join(carry, [HOT_ID, CHUNK], "left")
     return joined.select(*df.columns, *_combine(scan))

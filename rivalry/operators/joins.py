@@ -118,21 +118,18 @@ def previous_time(
     first at equal times; the latest right time seen so far is then strictly earlier. The
     work is linear in both tables: no pair of a left row and an older right row is formed.
     """
-    marks = (
-        right.select(
-            F.col(right_by or by).alias(by),
-            F.col(right_time or time).cast(left.schema[time].dataType).alias(time),
-        )
-        .where(F.col(time).isNotNull() & F.col(by).isNotNull())
-        .distinct()
-        .withColumn("__mark", F.lit(1))
-    )
-    probes = left.where(F.col(time).isNotNull() & F.col(by).isNotNull()).withColumn(
-        "__mark", F.lit(0)
-    )
+    known = F.col(time).isNotNull() & F.col(by).isNotNull()
+    times = right.select(
+        F.col(right_by or by).alias(by),
+        F.col(right_time or time).cast(left.schema[time].dataType).alias(time),
+    ).where(known)
+    marks = times.distinct().withColumn("__mark", F.lit(1))
+    probes = left.where(known).withColumn("__mark", F.lit(0))
     both = probes.unionByName(marks, allowMissingColumns=True)
     seen = Scan(last={out: F.when(F.col("__mark") == 1, F.col(time))})
-    scanned = running(both, [by], [time, "__mark"], seen, hot_rows)
+    # Counting the right rows before ``distinct`` saves its shuffle; more can only seem hot.
+    bound = probes.select(by).unionAll(times.select(by))
+    scanned = running(both, [by], [time, "__mark"], seen, hot_rows, bound)
     return scanned.where(F.col("__mark") == 0).drop("__mark")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder, for results that several jobs read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written once to the shared folder, for results that several jobs read.
+
+    A written table cuts the lineage like ``checkpoint`` does and survives lost executors, but
+    later reads take only the columns they need, and Spark knows its size.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir()
+    path = f"{folder}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
