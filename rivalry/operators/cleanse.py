@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivalry.functions import CLOCK, OF_PAIR, parse_clock, parse_of_pair, parse_percent, quoted
+from rivalry.operators.columns import column_cells
 
 # Fixed value: the status of a contest's winner.
 WON = "W"
@@ -81,22 +82,16 @@ def wide_to_long(df: DataFrame, tags: list[str], tag: str, slot: str | None = No
 
 def detect_formats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Which columns hold percentages, pairs or clocks in any value: one aggregate pass."""
-    held = [
-        F.struct(
-            F.coalesce(F.bool_or(F.contains(quoted(c), F.lit("%"))), F.lit(False)).alias("percent"),
-            F.coalesce(F.bool_or(quoted(c).rlike(OF_PAIR)), F.lit(False)).alias("of_pair"),
-            F.coalesce(F.bool_or(quoted(c).rlike(CLOCK)), F.lit(False)).alias("clock"),
-        ).alias(f"c{i}")
-        for i, c in enumerate(columns)
+    text = F.col("value")
+    tests = {
+        "percent": F.contains(text, F.lit("%")),
+        "of_pair": text.rlike(OF_PAIR),
+        "clock": text.rlike(CLOCK),
+    }
+    found = [
+        F.coalesce(F.bool_or(test), F.lit(False)).alias(kind) for kind, test in tests.items()
     ]
-    listed = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            *[F.col(f"c{i}.{kind}").alias(kind) for kind in ("percent", "of_pair", "clock")],
-        )
-        for i, c in enumerate(columns)
-    ]
-    return df.agg(*held).select(F.inline(F.array(*listed)))
+    return column_cells(df, columns, lambda c: c).groupBy("column_name").agg(*found)
 
 
 def convert_detected(df: DataFrame, columns: list[str], strict: bool = True) -> DataFrame:
@@ -107,13 +102,14 @@ def convert_detected(df: DataFrame, columns: list[str], strict: bool = True) ->
     A column follows the first format found in it, in that order. The driver sees one small
     row per column.
     """
-    found = {r["column_name"]: r for r in detect_formats(df, columns).collect()}
+    found = {r["column_name"]: r.asDict() for r in detect_formats(df, columns).collect()}
+    plain = {"percent": False, "of_pair": False, "clock": False}  # of a table without rows
     out: list[Column] = []
     for name in df.columns:
         text = quoted(name)
-        if name not in found:
+        if name not in columns:
             out.append(text)
-        elif found[name]["percent"]:
+        elif found.setdefault(name, plain)["percent"]:
             out.append(parse_percent(text, strict).alias(name))
         elif found[name]["of_pair"]:
             out += [part.alias(f"{name}_{key}") for key, part in parse_of_pair(text).items()]

@@ -5,32 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivalry.operators.columns import as_double, column_cells
+
 METRICS = ["accuracy", "f1_score", "precision", "recall"]
 
 
 def column_totals(df: DataFrame, columns: list[str]) -> DataFrame:
     """Row count, known values, sum, mean and whether any value is not 0, per column."""
-    parts = []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        parts += [
-            F.count(x).alias(f"n{i}"),
-            F.sum(x).alias(f"s{i}"),
-            F.avg(x).alias(f"m{i}"),
-            F.coalesce(F.bool_or(x != 0), F.lit(False)).alias(f"a{i}"),
-        ]
-    listed = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("rows"),
-            F.col(f"n{i}").alias("known"),
-            F.col(f"s{i}").alias("total"),
-            F.col(f"m{i}").alias("mean"),
-            F.col(f"a{i}").alias("any_set"),
+    x = F.col("value")
+    return (
+        column_cells(df, columns, as_double)
+        .groupBy("column_name")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count(x).alias("known"),
+            F.sum(x).alias("total"),
+            F.avg(x).alias("mean"),
+            F.coalesce(F.bool_or(x != 0), F.lit(False)).alias("any_set"),
         )
-        for i, c in enumerate(columns)
-    ]
-    return df.agg(F.count(F.lit(1)).alias("rows"), *parts).select(F.inline(F.array(*listed)))
+    )
 
 
 def conditional_rate(df: DataFrame, conditions: dict[str, Column], target: str) -> DataFrame:
@@ -56,24 +49,16 @@ def _correlations(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     Only the rows where both sides are known count. ``corr`` itself divides by zero on a
     constant column, so the quotient is guarded here.
     """
-    y = F.col(target).cast("double")
-    parts = []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-        parts += [
-            F.count(F.when(x.isNotNull() & y.isNotNull(), 1)).alias(f"n{i}"),
-            F.try_divide(F.covar_pop(x, y), spread).alias(f"r{i}"),
-        ]
-    listed = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"n{i}").alias("rows"),
-            F.col(f"r{i}").alias("correlation"),
+    x, y = F.col("value"), F.col("__target")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return (
+        column_cells(df, columns, as_double, {"__target": as_double(F.col(target))}, "feature")
+        .groupBy("feature")
+        .agg(
+            F.count(F.when(x.isNotNull() & y.isNotNull(), 1)).alias("rows"),
+            F.try_divide(F.covar_pop(x, y), spread).alias("correlation"),
         )
-        for i, c in enumerate(columns)
-    ]
-    return df.agg(*parts).select(F.inline(F.array(*listed)))
+    )
 
 
 def correlation_with_target(df: DataFrame, columns: list[str], target: str) -> DataFrame:

@@ -98,17 +98,15 @@ def q_cv(spark, sf):
 def q_search(spark, sf):
     """The best of a few random draws on the bouts."""
     rows = _outcomes(spark, sf)
-    n = rows.count()
-    family = L.Family(
-        L.logistic_regression(n, "won"), {"regParam": [1.0 / (c * n) for c in (0.1, 1.0, 10.0)]}
-    )
+    model = L.candidate_families("won")["logistic_regression"].model
+    family = L.Family(model, {"C": [0.1, 1.0, 10.0]})
     found = L.randomized_search(
         rows, FORM, "won", ORDER, family, k_choices=[2, 4, 6], draws=2, folds=3
     )
     return rows.agg(F.count(F.lit(1)).alias("rows")).withColumns(
         {
             "k": F.lit(found["best_params"]["k"]),
-            "reg_param": F.lit(found["best_params"]["regParam"]),
+            "inverse_strength": F.lit(found["best_params"]["C"]),
             "accuracy": F.lit(found["best_score"]),
         }
     )

@@ -38,6 +38,7 @@ from rivalry.operators.cleanse import (
 from rivalry.operators.encode import columns_of_type, numeric_frame, one_hot
 from rivalry.operators.joins import rename_side
 from rivalry.queries import views as V
+from rivalry.sources.files import union_records
 
 
 def _text(column):
@@ -260,6 +261,17 @@ def q_numeric_frame(spark, sf):
     return numeric_frame(rows)
 
 
+def q_union_records(spark, sf):
+    """Customers and suppliers as one list of records; columns one of them lacks are null."""
+    customers = V.table(spark, sf, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), "c_mktsegment"
+    )
+    suppliers = V.table(spark, sf, "supplier").select(
+        F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"), "s_suppkey"
+    )
+    return union_records(customers, suppliers)
+
+
 def q_columns_by_type(spark, sf):
     """How many columns of each kind the line items have."""
     lines = V.table(spark, sf, "lineitem")
@@ -292,6 +304,7 @@ QUERIES = {
     "q_product": q_product,
     "q_one_hot": q_one_hot,
     "q_numeric_frame": q_numeric_frame,
+    "q_union_records": q_union_records,
     "q_columns_by_type": q_columns_by_type,
 }
 
@@ -359,6 +372,9 @@ select l_orderkey, l_partkey,
     + " from orders",
     "q_numeric_frame": f"with {V.HISTORY} select contest_id, win::int win, coalesce(stat, 0) stat "
     "from history",
+    "q_union_records": """
+select c_name as "name", c_acctbal balance, c_mktsegment, null::bigint s_suppkey from customer
+union all select s_name, s_acctbal, null, s_suppkey from supplier""",
     "q_columns_by_type": """
 select (select count(*) from lineitem) as "rows",
   count(*) filter (data_type in ('BIGINT', 'INTEGER', 'DOUBLE'))::int number_columns,
