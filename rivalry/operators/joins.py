@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from rivalry.functions.text import quoted
 from rivalry.operators.encode import require_all
 from rivalry.operators.history import Scan, running
-from rivalry.operators.skew import HOT_ROWS, hot_keys, with_keys, without_keys
-from rivalry.operators.skew import HOT_ID
+from rivalry.operators.skew import HOT_ID, HOT_ROWS, hot_keys, with_keys, without_keys
 
 
 def rename_side(df: DataFrame, old: str, new: str) -> DataFrame:
@@ -95,10 +94,12 @@ def pair_contestants(
     many = hot_keys(df, [contest], limit=2)
     if many is None:
         return by_neighbour(df)
-    repeated = with_keys(df, many, [contest]).where(F.col(contest).isNotNull())
+    # Any number of contests may hold copies, so this list is joined without a hint.
+    repeated = with_keys(df, many, [contest], bounded=False)
+    repeated = repeated.where(F.col(contest).isNotNull())
     copies = repeated.select(HOT_ID, *[F.col(c).alias(renamed[c]) for c in own])
     joined = repeated.join(copies, HOT_ID).where(F.col(entity) != F.col(renamed[entity]))
-    rest = by_neighbour(without_keys(df, many, [contest]))
+    rest = by_neighbour(without_keys(df, many, [contest], bounded=False))
     return rest.unionByName(joined.drop(HOT_ID))
 
 

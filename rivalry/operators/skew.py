@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rivalry.session import stored
 
 # Rows of one key that a single task may sort. A key above it is cut into chunks.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 
 HOT_ID = "__hot_id"
 HOT_COUNT = "__hot_count"
@@ -24,8 +24,8 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame
     """The keys with more than ``limit`` rows, with a number and a row count each, or None.
 
     One narrow aggregate (map-side combined) finds them. At most rows / limit keys
-    can qualify, so the result is small enough to broadcast; it is stored with
-    ``checkpoint`` so that the numbers stay the same in every use.
+    can qualify, which makes the result small for a limit like ``HOT_ROWS``; it is stored,
+    so that the numbers stay the same in every use.
     """
     hot = (
         df.groupBy(*keys)
@@ -47,13 +47,16 @@ def _same_keys(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(_hot(k))) for k in keys])
 
 
-def without_keys(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of all other keys."""
-    small = F.broadcast(hot.select(*[_hot(k) for k in keys]))
-    return df.join(small, _same_keys(keys), "left_anti")
+def without_keys(
+    df: DataFrame, hot: DataFrame, keys: list[str], bounded: bool = True
+) -> DataFrame:
+    """The rows of all other keys. ``bounded`` says that the list is proven to be small."""
+    listed = hot.select(*[_hot(k) for k in keys])
+    return df.join(F.broadcast(listed) if bounded else listed, _same_keys(keys), "left_anti")
 
 
-def with_keys(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+def with_keys(df: DataFrame, hot: DataFrame, keys: list[str], bounded: bool = True) -> DataFrame:
     """The rows of the listed keys, with the key's number."""
-    small = F.broadcast(hot.select(*[_hot(k) for k in keys], HOT_ID))
-    return df.join(small, _same_keys(keys), "inner").select(*df.columns, HOT_ID)
+    listed = hot.select(*[_hot(k) for k in keys], HOT_ID)
+    joined = df.join(F.broadcast(listed) if bounded else listed, _same_keys(keys), "inner")
+    return joined.select(*df.columns, HOT_ID)

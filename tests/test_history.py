@@ -70,7 +70,7 @@ def by_hand(data):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [None, 2_000_000, 100, 30, 7])
+@pytest.mark.parametrize("hot_rows", [None, 1_000_000, 100, 30, 7])
 def test_running_matches_hand(spark, hot_rows):
     """Plain windows and every size of chunk give the same values."""
     df, data = histories(spark)
