@@ -69,6 +69,7 @@ def pair_contestants(
     entity: str,
     side: tuple[str, str],
     shared: list[str],
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Every row next to the other contestant's row of the same contest.
 
@@ -76,7 +77,8 @@ def pair_contestants(
     replaced by ``side[1]`` in their names. A contest of two thus gives two mirrored rows,
     found by looking one row ahead or back: one shuffle and no join. Contests that
     list more than two rows hold copies; only those take the equi-join, which pairs each row
-    with all rows of another entity.
+    with all rows of another entity. ``bound`` is a table that is cheaper to count and has at
+    least as many rows per contest.
     """
     old, new = side
     own = [c for c in df.columns if c not in shared and c != contest]
@@ -91,7 +93,7 @@ def pair_contestants(
             F.col(entity) != F.col(renamed[entity])
         )
 
-    many = hot_keys(df, [contest], limit=2)
+    many = hot_keys(df if bound is None else bound, [contest], limit=2)
     if many is None:
         return by_neighbour(df)
     # Any number of contests may hold copies, so this list is joined without a hint.
@@ -112,6 +114,7 @@ def previous_time(
     right_by: str | None = None,
     right_time: str | None = None,
     hot_rows: int | None = HOT_ROWS,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` with the latest time at which ``right`` has a row of the entity strictly before.
 
@@ -128,8 +131,9 @@ def previous_time(
     probes = left.where(known).withColumn("__mark", F.lit(0))
     both = probes.unionByName(marks, allowMissingColumns=True)
     seen = Scan(last={out: F.when(F.col("__mark") == 1, F.col(time))})
-    # Counting the right rows before ``distinct`` saves its shuffle; more can only seem hot.
-    bound = probes.select(by).unionAll(times.select(by))
+    if bound is None:
+        # Counting the right rows before ``distinct`` saves its shuffle; more only seem hot.
+        bound = probes.select(by).unionAll(times.select(by))
     scanned = running(both, [by], [time, "__mark"], seen, hot_rows, bound)
     return scanned.where(F.col("__mark") == 0).drop("__mark")
 
@@ -178,8 +182,10 @@ def two_sided_asof(
     keyed = previous_time(
         contests, history, entity, time, "__own", hot_rows=hot_rows
     ).where(F.col("__own").isNotNull())
+    # Hot opponents are counted before the first lookup and the null check: no less, and cheap.
+    counted = contests.select(opponent).unionAll(history.select(F.col(entity).alias(opponent)))
     keyed = previous_time(
-        keyed, opposing, opponent, time, "__opposing", right_by=entity, hot_rows=hot_rows
+        keyed, opposing, opponent, time, "__opposing", entity, None, hot_rows, counted
     ).where(F.col("__opposing").isNotNull())
 
     same_type = contests.schema[time].dataType

@@ -110,6 +110,32 @@ def test_two_sided(spark, rows, hot_rows):
     ]
 
 
+def test_two_sided_on_a_wide_table(spark):
+    """The plan of a wide history must not grow with every renamed column."""
+    wide = spark.range(40).select(
+        F.concat(F.lit("e"), (F.col("id") % 4).cast("string")).alias("entity_id"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+        *[(F.col("id") * i).cast("double").alias(f"entity_x{i}") for i in range(80)],
+    )
+    contests = spark.createDataFrame(
+        [(1, day(60), "e1", "e2")], "contest int, day date, entity_id string, opponent_id string"
+    )
+    got = J.two_sided_asof(
+        contests, wide, "entity_id", "opponent_id", "day", ("entity_", "opponent_")
+    ).collect()
+    assert len(got) == 1 and got[0]["entity_x2"] == 74.0 and got[0]["opponent_x2"] == 76.0
+
+
+def test_pairs_counted_elsewhere(spark, rows):
+    """A bound that lists more rows per contest than there are changes nothing."""
+    df = contest_rows(spark)
+    sides = ("entity", "opponent")
+    plain = J.pair_contestants(df, "contest", "entity_id", sides, ["day"])
+    bound = J.pair_contestants(df, "contest", "entity_id", sides, ["day"], df.unionAll(df))
+    columns = ["contest", "entity_id", "opponent_id", "opponent_win"]
+    assert rows(plain, *columns) == rows(bound, *columns)
+
+
 def test_enrich(spark, rows):
     dim = spark.createDataFrame([(1, "x"), (9, "y")], "k int, name string")
     facts = spark.createDataFrame([(1, 10), (2, 20)], "k int, v int")
