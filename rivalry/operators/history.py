@@ -26,6 +26,9 @@ from rivalry.operators.skew import (
 )
 from rivalry.session import stored
 
+# Range partitions of one shuffle; beyond it the chunks get longer instead.
+MAX_CHUNKS = 20_000
+
 CHUNK = "__chunk"
 ROW = "__row"
 CARRY = "__carry"
@@ -122,7 +125,7 @@ def _by_chunks(
     hot_rows: int,
 ) -> DataFrame:
     total = hot.agg(F.sum(HOT_COUNT)).first()[0]
-    parts = max(2, -(-2 * total // hot_rows))
+    parts = min(max(2, -(-2 * total // hot_rows)), MAX_CHUNKS)
     rows = (
         with_keys(df, hot, keys)
         .repartitionByRange(parts, F.col(HOT_ID), *ordering(order))

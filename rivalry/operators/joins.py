@@ -88,17 +88,18 @@ def pair_contestants(
     def by_neighbour(rows: DataFrame) -> DataFrame:
         spec = Window.partitionBy(contest).orderBy(F.col(entity).asc_nulls_last())
         seen = F.coalesce(F.lead(other).over(spec), F.lag(other).over(spec))
-        paired = rows.where(F.col(contest).isNotNull()).withColumn("__other", seen)
+        paired = rows.withColumn("__other", seen)
         return paired.select(*df.columns, "__other.*").where(
             F.col(entity) != F.col(renamed[entity])
         )
 
-    many = hot_keys(df if bound is None else bound, [contest], limit=2)
+    df = df.where(F.col(contest).isNotNull())
+    counted = df if bound is None else bound.where(F.col(contest).isNotNull())
+    many = hot_keys(counted, [contest], limit=2)
     if many is None:
         return by_neighbour(df)
     # Any number of contests may hold copies, so this list is joined without a hint.
     repeated = with_keys(df, many, [contest], bounded=False)
-    repeated = repeated.where(F.col(contest).isNotNull())
     copies = repeated.select(HOT_ID, *[F.col(c).alias(renamed[c]) for c in own])
     joined = repeated.join(copies, HOT_ID).where(F.col(entity) != F.col(renamed[entity]))
     rest = by_neighbour(without_keys(df, many, [contest], bounded=False))

@@ -77,8 +77,9 @@ def test_running_matches_hand(spark, hot_rows):
     got = running(df, ["key"], ["day", "id"], the_scan(), hot_rows).collect()
     assert len(got) == len(data)
     want = by_hand(data)
+    outputs = the_scan().outputs()
     for row in got:
-        values = [row[c] for c in the_scan().outputs()]
+        values = [row[c] for c in outputs]
         assert values == pytest.approx(list(want[row["id"]])), row
 
 

@@ -55,6 +55,7 @@ def contest_rows(spark):
         (3, "c", day(2), True),  # alone
         (4, "a", day(3), True), (4, "a", day(3), True),  # the same entity twice
         (5, "a", day(4), True), (5, "b", day(4), False), (5, "b", day(4), False),  # a copy
+        *[(None, e, day(5), True) for e in "abcab"],  # no contest at all
     ]
     return spark.createDataFrame(data, "contest int, entity_id string, day date, entity_win boolean")
 
