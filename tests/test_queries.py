@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rivalry.queries import all_oracles, all_queries
 from tools.check_queries import TABLES, normal
 
 SF = "/root/testdata/sf0.001"
@@ -23,11 +24,11 @@ def test_entry(spark):
 
 
 def test_only_models_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(all_queries()) - set(all_oracles()) == NO_SQL
+    assert set(all_oracles()) <= set(all_queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(all_oracles()))
 def test_matches_sql(spark, db, name):
     got = entry.queries()[name](spark, SF).toPandas()
     want = db.execute(entry.oracle_sql()[name]).df()
