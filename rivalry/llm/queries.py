@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivalry.llm import chat, shards
+from rivalry.llm import chat, rules, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,12 +75,88 @@ with recursive names as (
 select doc_id, slot::int as slot, shard::int as shard from placed join owners using (slot)
 """
 
+
+def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_PART = 0.05 / len(rules.RULES)
+_TESTS = [(rule, i, cutoff) for rule in rules.RULES for i, cutoff in enumerate(rule.cutoffs)]
+_TALLIES = ",\n".join(
+    f"count(*) filter (lowest > 0 and {rule.value} > {cutoff}) as {rule.name}_{i},"
+    f" count(*) filter (lowest <= 0 and {rule.value} > {cutoff}) as {rule.name}_{i}_bad"
+    for rule, i, cutoff in _TESTS
+)
+_STRUCTS = ", ".join(
+    f"{{'rule': '{rule.name}', 'cutoff': {cutoff}::double, 'k': {rule.name}_{i},"
+    f" 'k_bad': {rule.name}_{i}_bad}}"
+    for rule, i, cutoff in _TESTS
+)
+_BREACHES = ", ".join(
+    f"case when {rule.value} > (select cutoff from chosen c"
+    f" where c.stratum = j.stratum and c.rule = '{rule.name}') then '{rule.name}' end"
+    for rule in rules.RULES
+)
+OP6_SQL = f"""
+with split as (
+    select row_number() over () as r, doc_id, coalesce(lang, '') as stratum,
+        coalesce(text, '') as t,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w,
+        list_filter(string_split(coalesce(text, ''), chr(10)),
+            lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+    from documents
+), windows as (
+    select r, i, w[i:i + 7] as win from split, unnest(range(1, len(w) - 6)) u(i)
+), twice as (
+    select r, unnest(list(i)) as i from windows group by r, win having count(*) > 1
+), covered as (
+    select r, count(distinct i + k) as n from twice, range(8) t(k) group by r
+), counted as (
+    select doc_id, stratum, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+        len(lines) - len(list_distinct(lines)) as n_dup_lines,
+        coalesce(n, 0) as n_repeat_words, len(lines) as n_lines,
+        length(t) - length(replace(t, '!', '')) as n_shouts
+    from split left join covered using (r)
+), judged as (
+    select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from counted
+), lowest as (
+    select doc_id, min(quality) as lowest from labels
+    where quality is not null and doc_id is not null group by doc_id
+), tallied as (
+    select stratum, count(*) filter (lowest > 0) as n, count(*) filter (lowest <= 0) as n_bad,
+        {_TALLIES}
+    from judged join lowest using (doc_id) where not base_failed
+    group by stratum having count(*) filter (lowest > 0) > 0
+), tests as (
+    select stratum, n, n_bad, (select count(*) from tallied) as n_strata,
+        unnest([{_STRUCTS}], recursive := true)
+    from tallied
+), proven as (
+    select *, k_bad / greatest(n_bad, 1) - 10 * k / n as gain from tests
+    where k < {_PART!r} * n and list_sum(list_transform(range(0, k + 1), lambda i: exp(
+        lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0)
+        + i * ln({_PART!r}) + (n - i) * ln(1 - {_PART!r}))))
+        <= 0.05 / (n_strata * {len(rules.RULES)})
+), chosen as (
+    select stratum, rule, arg_max(cutoff, {{'gain': gain, 'cutoff': cutoff}}) as cutoff
+    from proven where gain > 0 group by stratum, rule
+), breached as (
+    select *, list_filter([{_BREACHES}], lambda x: x is not null) as breaches from judged j
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not base_failed and len(breaches) = 0 as kept, array_to_string(breaches, ',') as breaches
+from breached
+"""
+
 QUERIES = {
     "op2_chat": op2_chat,
     "op4_shards": op4_shards,
+    "op6_rules": op6_rules,
 }
 
 ORACLE = {
     "op2_chat": OP2_SQL,
     "op4_shards": OP4_SQL,
+    "op6_rules": OP6_SQL,
 }
