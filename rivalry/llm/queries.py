@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rivalry.llm import chat, rules, shards
+from rivalry.llm import chat, repeats, rules, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,14 +150,55 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from breached
 """
 
+
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["stop"] - s["start"])
+    return left.select(
+        "doc_id",
+        "n_words",
+        removed.cast("long").alias("n_removed"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+OP8_SQL = """
+with split as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
+    from documents
+), windows as (
+    select doc_id, i, w[i:i + 19] as win from split, unnest(range(1, len(w) - 18)) u(i)
+), firsts as (
+    select win, min({'doc_id': doc_id, 'i': i}) as f
+    from windows group by win having count(*) > 1
+), later as (
+    select doc_id, i from windows join firsts using (win)
+    where f <> {'doc_id': doc_id, 'i': i}
+), gone as (
+    select doc_id, list_sort(list_distinct(list(i + k))) as words
+    from later, range(20) t(k) group by doc_id
+), cut as (
+    select split.doc_id, w, coalesce(words, []) as words,
+        list_filter(w, lambda x, i: not list_contains(coalesce(words, []), i)) as kept
+    from split left join gone on gone.doc_id = split.doc_id
+)
+select doc_id, len(w) as n_words, len(words) as n_removed,
+    sha256(array_to_string(kept, ' ')) as kept_sha256,
+    len(list_filter(words, lambda x, i: i = 1 or words[i - 1] <> x - 1)) as n_spans
+from cut
+"""
+
 QUERIES = {
     "op2_chat": op2_chat,
     "op4_shards": op4_shards,
     "op6_rules": op6_rules,
+    "op8_repeats": op8_repeats,
 }
 
 ORACLE = {
     "op2_chat": OP2_SQL,
     "op4_shards": OP4_SQL,
     "op6_rules": OP6_SQL,
+    "op8_repeats": OP8_SQL,
 }
