@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import chat, repeats, rules, shards
+from rivalry.llm import chat, pages, repeats, rules, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -189,11 +189,40 @@ select doc_id, len(w) as n_words, len(words) as n_removed,
 from cut
 """
 
+
+def op9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = pages.extract(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: The given pages hold one article element each, of headings and paragraphs.
+OP9_SQL = """
+with articles as (
+    select page_id, url,
+        regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') as article
+    from pages
+), parts as (
+    select page_id, url, list_transform(
+        string_split(regexp_replace(article, '</?(p|h1)>', chr(1), 'g'), chr(1)),
+        lambda x: trim(regexp_replace(replace(replace(replace(replace(
+            regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '\\s+', ' ', 'g'))
+        ) as blocks
+    from articles
+), texts as (
+    select page_id, url, regexp_replace(array_to_string(
+        list_filter(blocks, lambda x: x <> ''), chr(10)), '&amp;?', '&', 'g') as text
+    from parts
+)
+select page_id, url, text, length(text) as n_chars from texts
+"""
+
 QUERIES = {
     "op2_chat": op2_chat,
     "op4_shards": op4_shards,
     "op6_rules": op6_rules,
     "op8_repeats": op8_repeats,
+    "op9_pages": op9_pages,
 }
 
 ORACLE = {
@@ -201,4 +230,5 @@ ORACLE = {
     "op4_shards": OP4_SQL,
     "op6_rules": OP6_SQL,
     "op8_repeats": OP8_SQL,
+    "op9_pages": OP9_SQL,
 }
