@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import chat, pages, repeats, rules, shards
+from rivalry.llm import chat, decontaminate, pages, repeats, rules, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,13 @@ SHARDS = [f"shard-{i:02d}" for i in range(64)]
 SLOTS = 6_421
 
 
+def op1_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (document, item) pairs that overlap, one row each."""
+    return decontaminate.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
@@ -218,6 +225,7 @@ select page_id, url, text, length(text) as n_chars from texts
 """
 
 QUERIES = {
+    "op1_overlaps": op1_overlaps,
     "op2_chat": op2_chat,
     "op4_shards": op4_shards,
     "op6_rules": op6_rules,
