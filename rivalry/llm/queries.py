@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import chat, decontaminate, pages, repeats, rules, shards
+from rivalry.llm import chat, decontaminate, pages, quality, repeats, rules, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(documents, table(spark, sf_dir, "labels"))
+    return quality.select(quality.rate(documents, model)).drop("text")
+
+
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 SLOTS = 6_421
 
@@ -227,6 +233,7 @@ select page_id, url, text, length(text) as n_chars from texts
 QUERIES = {
     "op1_overlaps": op1_overlaps,
     "op2_chat": op2_chat,
+    "op3_quality": op3_quality,
     "op4_shards": op4_shards,
     "op6_rules": op6_rules,
     "op8_repeats": op8_repeats,
