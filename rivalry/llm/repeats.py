@@ -19,14 +19,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivalry.llm import words as W
-from rivalry.session import stored
 
 #: Words of a chunk, which bounds a task's memory, and of a bucket, on average.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 BUCKET_WORDS = 1_000_000
 
 #: Id that a null id is ordered by, after all others.
@@ -40,7 +40,9 @@ FOUND = "chunk long, kind int, a binary, b binary, c binary, d binary"
 MARKS = "_id long, _tie long, places binary"
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], width: int, *more: str) -> Iterator[tuple]:
+def _chunks(
+    batches: Iterator[pa.RecordBatch], width: int, chunk_words: int, *more: str
+) -> Iterator[tuple]:
     """(ids, ties, first word of each document, word numbers, more columns) per chunk.
 
     Documents are in order of (id, tie); those that repeat both are taken once, and those with
@@ -66,7 +68,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], width: int, *more: str) -> Iterat
                 continue
             rows[key] = (numbers.of(split), *(column[row] for column in rest))
             size += len(split)
-            if size >= CHUNK_WORDS:
+            if size >= chunk_words:
                 yield chunk(rows)
                 rows, size = {}, 0
     if rows:
@@ -89,6 +91,25 @@ def _bundles(bucket: np.ndarray, n_buckets: int) -> Iterator[tuple[int, slice]]:
         yield int(b), slice(edges[b], edges[b + 1])
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as differences, byte by byte; rising ones shrink in the shuffle."""
+    steps = np.diff(numbers.astype(np.int64), prepend=0).astype("<u4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    steps = np.frombuffer(packed, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
+    return np.cumsum(steps, dtype=np.uint32).astype(np.int64)
+
+
+def _bits(flags: np.ndarray) -> bytes:
+    return np.packbits(flags).tobytes()
+
+
+def _unbits(packed: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=count).astype(bool)
+
+
 def _frame(rows: list[tuple], schema: str) -> pa.RecordBatch:
     names = [part.split()[0] for part in schema.split(", ")]
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
@@ -99,11 +120,25 @@ def _frame(rows: list[tuple], schema: str) -> pa.RecordBatch:
     )
 
 
-def _probes(block: int, n_buckets: int) -> Callable:
+def _number(ids: np.ndarray, ties: np.ndarray) -> int:
+    """The same for chunks of the same documents only, however often a task runs."""
+    return xxhash.xxh3_64_intdigest(ids.tobytes() + ties.tobytes()) >> 1
+
+
+def _own(chunk: int, places, ids, ties, first, n_buckets: int) -> list[tuple]:
+    """Rows that pass by the buckets: places found within the chunk, and its documents."""
+    own = n_buckets + chunk % n_buckets
+    return [
+        (own, chunk, PLACES, _pack(places), None, None, None),
+        (own, chunk, DIRECTORY, ids.tobytes(), ties.tobytes(), _pack(first), None),
+    ]
+
+
+def _probes(block: int, n_buckets: int, chunk_words: int) -> Callable:
     """Chunk by chunk: every rolling window's hash, with a flag for the blocks of the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, ties, first, numbers, _ in _chunks(batches, 2 * block):
+        for ids, ties, first, numbers, _ in _chunks(batches, 2 * block, chunk_words):
             hashes = W.rolling(numbers, block)
             at = _whole(first, block)
             at = at[at < len(hashes)]
@@ -119,26 +154,23 @@ def _probes(block: int, n_buckets: int) -> Callable:
             bucket = (hashes[runs] >> np.uint64(32)) % np.uint64(n_buckets)
             order = np.lexsort((at[runs], bucket))
             bucket, picked = bucket[order], runs[order]
-            flags = (indexed[order] | (single[order] << 1)).astype(np.uint8)
-            chunk = int(W.mix(np.array([ids[0] ^ (ties[0] << 1)]).view(np.uint64))[0] >> 1)
+            indexed, single_run = indexed[order], single[order]
+            chunk = _number(ids, ties)
+            # 32 bits beside the bucket: false hits, a few in 100,000, are sorted out later
             rows = [
                 (
                     b,
                     chunk,
                     ENTRIES,
                     (hashes[picked[s]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
-                    (hashes[picked[s]] >> np.uint64(56)).astype(np.uint8).tobytes(),
-                    flags[s].tobytes(),
-                    at[picked[s]].astype(np.uint32).tobytes(),
+                    _bits(indexed[s]),
+                    _bits(single_run[s]),
+                    _pack(at[picked[s]]),
                 )
                 for b, s in _bundles(bucket, n_buckets)
             ]
-            again = np.sort(at[np.repeat(~single, lengths)]).astype(np.uint32)
-            own = n_buckets + chunk % n_buckets
-            rows.append((own, chunk, PLACES, again.tobytes(), None, None, None))
-            listed = (ids.tobytes(), ties.tobytes(), first.astype(np.uint32).tobytes(), None)
-            rows.append((own, chunk, DIRECTORY, *listed))
-            yield _frame(rows, PACKED)
+            again = np.sort(at[np.repeat(~single, lengths)])
+            yield _frame(rows + _own(chunk, again, ids, ties, first, n_buckets), PACKED)
 
     return run
 
@@ -149,45 +181,49 @@ def _hits(bundle: pd.DataFrame) -> pd.DataFrame:
     entries = bundle[bundle.kind == ENTRIES]
     out = [passed.drop(columns="bucket")]
     if len(entries) > 1:
-        read = lambda column, kind: [np.frombuffer(x, kind) for x in entries[column]]
-        low, high, flags, at = (
-            read(c, k) for c, k in (("a", np.uint32), ("b", np.uint8), ("c", np.uint8), ("d", np.uint32))
+        hashes = [np.frombuffer(x, np.uint32) for x in entries.a]
+        counts = [len(x) for x in hashes]
+        chunk = np.repeat(np.arange(len(counts)), counts)
+        hashes = np.concatenate(hashes)
+        flag = lambda column: np.concatenate(
+            [_unbits(x, n) for x, n in zip(entries[column], counts, strict=True)]
         )
-        chunk = np.repeat(np.arange(len(low)), [len(x) for x in low])
-        hashes = np.concatenate(low).astype(np.uint64)
-        hashes |= np.concatenate(high).astype(np.uint64) << np.uint64(32)
-        flags, at = np.concatenate(flags), np.concatenate(at)
+        indexed, single = flag("b"), flag("c")
+        at = np.concatenate([_unpack(x) for x in entries.d])
         order = np.argsort(hashes)
         runs = W.starts(hashes[order])
         lengths = np.diff(np.r_[runs, len(order)])
-        indexed = np.maximum.reduceat(flags[order] & 1, runs) > 0
-        hit = order[np.repeat(indexed & (lengths > 1), lengths)]
-        hit = np.sort(hit[flags[hit] >= 2])
-        numbers = entries.chunk.to_numpy()
-        edges = np.searchsorted(chunk[hit], np.arange(len(numbers) + 1))
-        rows = [
-            (numbers[k], PLACES, at[hit[edges[k] : edges[k + 1]]].tobytes(), None, None, None)
-            for k in np.flatnonzero(np.diff(edges))
-        ]
-        if rows:
-            out.append(pd.DataFrame(rows, columns=["chunk", "kind", "a", "b", "c", "d"]))
+        known = np.maximum.reduceat(indexed[order], runs)
+        hit = order[np.repeat(known & (lengths > 1), lengths)]
+        hit = np.sort(hit[single[hit]])
+        out += _returned(entries, chunk[hit], at[hit])
     return pd.concat(out)
 
 
+def _returned(entries: pd.DataFrame, chunk: np.ndarray, at: np.ndarray) -> list[pd.DataFrame]:
+    """Places that go back to their chunks; ``chunk`` has row numbers of ``entries``, rising."""
+    numbers = entries.chunk.to_numpy()
+    edges = np.searchsorted(chunk, np.arange(len(numbers) + 1))
+    rows = [
+        (numbers[k], PLACES, _pack(at[edges[k] : edges[k + 1]]), None, None, None)
+        for k in np.flatnonzero(np.diff(edges))
+    ]
+    return [pd.DataFrame(rows, columns=["chunk", "kind", "a", "b", "c", "d"])] if rows else []
+
+
 def _by_document(found: pd.DataFrame) -> pd.DataFrame:
     """Of one chunk: the places hit in each document, as word indexes within it."""
     directory = found[found.kind == DIRECTORY].iloc[0]
     ids, ties = np.frombuffer(directory.a, np.int64), np.frombuffer(directory.b, np.int64)
-    first = np.frombuffer(directory.c, np.uint32).astype(np.int64)
-    at = [np.frombuffer(x, np.uint32) for x in found[found.kind == PLACES].a]
-    at = np.sort(np.concatenate(at)).astype(np.int64)
+    first = _unpack(directory.c)
+    at = np.sort(np.concatenate([_unpack(x) for x in found[found.kind == PLACES].a]))
     edges = np.searchsorted(at, first)
     docs = np.flatnonzero(np.diff(edges))
-    places = [(at[edges[d] : edges[d + 1]] - first[d]).astype(np.uint32).tobytes() for d in docs]
+    places = [_pack(at[edges[d] : edges[d + 1]] - first[d]) for d in docs]
     return pd.DataFrame({"_id": ids[docs], "_tie": ties[docs], "places": places})
 
 
-def _sequences(window: int, n_buckets: int) -> Callable:
+def _sequences(window: int, n_buckets: int, chunk_words: int) -> Callable:
     """Chunk by chunk: the whole sequences within reach of a hit, by hash.
 
     Sequences that start again within the chunk are known to repeat; the chunk's first goes on.
@@ -195,11 +231,10 @@ def _sequences(window: int, n_buckets: int) -> Callable:
     reach = window // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, ties, first, numbers, more in _chunks(batches, window, "hits"):
+        for ids, ties, first, numbers, more in _chunks(batches, window, chunk_words, "hits"):
             wanted = np.zeros(len(numbers) + 1, np.int32)
             for doc, (bundles,) in enumerate(more):
-                hits = np.concatenate([np.frombuffer(x, np.uint32) for x in bundles])
-                hits = hits.astype(np.int64) + first[doc]
+                hits = np.concatenate([_unpack(x) for x in bundles]) + first[doc]
                 np.add.at(wanted, np.maximum(hits - reach, first[doc]), 1)
                 np.add.at(wanted, hits + 1, -1)
             hashes = W.rolling(numbers, window)
@@ -212,62 +247,42 @@ def _sequences(window: int, n_buckets: int) -> Callable:
             runs = W.starts(hashes)
             later = np.ones(len(at), bool)
             later[runs] = False
-            place = (at - first[doc]).astype(np.uint32)
-            rows = _marks(ids, ties, doc[later], place[later], n_buckets)
             bucket = (hashes[runs] >> np.uint64(32)) % np.uint64(n_buckets)
             order = np.lexsort((at[runs], bucket))
             bucket, picked = bucket[order], runs[order]
+            chunk = _number(ids, ties)
+            rows = _own(chunk, np.sort(at[later]), ids, ties, first, n_buckets)
             for b, s in _bundles(bucket, n_buckets):
                 some = picked[s]
-                listed = (hashes[some], ids[doc[some]], ties[doc[some]], place[some])
-                rows.append((b, 0, ENTRIES, *(x.tobytes() for x in listed)))
+                own, count = np.unique(doc[some], return_counts=True)
+                listed = np.column_stack([ids[own], ties[own], first[own], count])
+                packed = (hashes[some].tobytes(), listed.tobytes(), _pack(at[some]), None)
+                rows.append((b, chunk, ENTRIES, *packed))
             yield _frame(rows, PACKED)
 
     return run
 
 
-def _marks(ids, ties, doc, place, n_buckets: int) -> list[tuple]:
-    """Packed rows of the places to remove, one for each document."""
-    order = np.lexsort((place, doc))
-    doc, place = doc[order], place[order]
-    edges = np.r_[W.starts(doc), len(doc)]
-    return [
-        (
-            n_buckets + int(ids[doc[a]]) % n_buckets,
-            0,
-            PLACES,
-            place[a:b].tobytes(),
-            ids[doc[a] : doc[a] + 1].tobytes(),
-            ties[doc[a] : doc[a] + 1].tobytes(),
-            None,
-        )
-        for a, b in zip(edges[:-1], edges[1:], strict=True)
-    ]
-
-
 def _later(bundle: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket: the places of all sequences but the first of each hash."""
-    marks = bundle[bundle.kind == PLACES]
+    passed = bundle[bundle.kind != ENTRIES]
     entries = bundle[bundle.kind == ENTRIES]
-    number = lambda column: [int(np.frombuffer(x, np.int64)[0]) for x in column]
-    out = [pd.DataFrame({"_id": number(marks.b), "_tie": number(marks.c), "places": list(marks.a)})]
+    out = [passed.drop(columns="bucket")]
     if len(entries) > 1:
-        kinds = {"a": np.uint64, "b": np.int64, "c": np.int64, "d": np.uint32}
-        hashes, ids, ties, place = (
-            np.concatenate([np.frombuffer(x, kind) for x in entries[c]]) for c, kind in kinds.items()
-        )
+        hashes = [np.frombuffer(x, np.uint64) for x in entries.a]
+        chunk = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
+        hashes = np.concatenate(hashes)
+        listed = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 4) for x in entries.b])
+        ids, ties, first = np.repeat(listed[:, :3], listed[:, 3], axis=0).T
+        at = np.concatenate([_unpack(x) for x in entries.c])
+        place = at - first
         order = np.lexsort((place, ties, ids, hashes))
-        hashes, ids, ties, place = hashes[order], ids[order], ties[order], place[order]
-        runs = W.starts(hashes)
-        first = np.repeat(runs, np.diff(np.r_[runs, len(hashes)]))
+        runs = W.starts(hashes[order])
+        origin = order[np.repeat(runs, np.diff(np.r_[runs, len(order)]))]
         # a row read twice is the same place, not a later one
-        later = np.flatnonzero((ids != ids[first]) | (ties != ties[first]) | (place != place[first]))
-        order = later[np.lexsort((place[later], ties[later], ids[later]))]
-        ids, ties, place = ids[order], ties[order], place[order]
-        new = np.r_[True, (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])][: len(ids)]
-        edges = np.r_[np.flatnonzero(new), len(ids)]
-        places = [place[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        out.append(pd.DataFrame({"_id": ids[edges[:-1]], "_tie": ties[edges[:-1]], "places": places}))
+        same = (ids[order] == ids[origin]) & (ties[order] == ties[origin])
+        later = np.sort(order[~same | (place[order] != place[origin])])
+        out += _returned(entries, chunk[later], at[later])
     return pd.concat(out)
 
 
@@ -286,7 +301,7 @@ def _cut(window: int) -> Callable:
                 spans: list = []
                 kept = split
                 if bundles:
-                    at = np.concatenate([np.frombuffer(x, np.uint32) for x in bundles])
+                    at = np.concatenate([_unpack(x) for x in bundles])
                     depth = np.zeros(len(split) + 1, np.int32)
                     np.add.at(depth, at, 1)
                     np.add.at(depth, at + window, -1)
@@ -311,7 +326,12 @@ def _cut(window: int) -> Callable:
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    window: int = 20,
+    chunk_words: int = CHUNK_WORDS,
+    bucket_words: int = BUCKET_WORDS,
+) -> DataFrame:
     """doc_id, n_words, spans, kept_text for each row of ``docs`` (doc_id long, text).
 
     Words are runs of characters other than ASCII white space. A word goes if it is in a sequence
@@ -334,15 +354,16 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     )
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     # a word has six letters or so
-    n_buckets = max(16, size // (6 * BUCKET_WORDS))
+    n_buckets = max(16, size // (6 * bucket_words))
     key = ["_id", "_tie"]
-    probed = rows.select(*key, "text").mapInArrow(_probes(window // 2, n_buckets), PACKED)
+    probed = rows.select(*key, "text").mapInArrow(_probes(window // 2, n_buckets, chunk_words), PACKED)
     found = probed.groupBy("bucket").applyInPandas(_hits, FOUND)
     hits = found.groupBy("chunk").applyInPandas(_by_document, MARKS)
     hits = hits.groupBy(*key).agg(F.collect_list("places").alias("hits"))
-    near = rows.select(*key, "text").join(hits, key).select(*key, "text", "hits")
-    packed = near.mapInArrow(_sequences(window, n_buckets), PACKED)
-    later = packed.groupBy("bucket").applyInPandas(_later, MARKS)
-    marks = stored(later.groupBy(*key).agg(F.collect_list("places").alias("marks")))
-    marked = rows.join(marks, key, "left").select("doc_id", "text", "marks")
-    return marked.mapInArrow(_cut(window), RESULT)
+    # both joins read one exchange of the texts
+    near = rows.join(hits, key)
+    packed = near.mapInArrow(_sequences(window, n_buckets, chunk_words), PACKED)
+    later = packed.groupBy("bucket").applyInPandas(_later, FOUND)
+    marks = later.groupBy("chunk").applyInPandas(_by_document, MARKS)
+    marks = marks.groupBy(*key).agg(F.collect_list("places").alias("marks"))
+    return rows.join(marks, key, "left").mapInArrow(_cut(window), RESULT)
