@@ -85,20 +85,19 @@ def fit_model(
     features: list[tuple[np.ndarray, np.ndarray]],
     grades: np.ndarray,
     n_grades: int,
-    penalty: float = 1e-3,
-    least_docs: int = 8,
+    penalty: float = 1e-4,
     rounds: int = 100,
 ) -> Model:
     """Penalised maximum likelihood over all rows, the same for the same input.
 
-    Only features of at least ``least_docs`` rows are used: rarer ones would learn single
-    documents by heart. Thresholds start at the observed shares, one row added to each grade; they
+    Only features of one row in 600, and of three at least, are used: rarer ones would learn
+    single documents by heart. Thresholds start at the observed shares, one row added to each grade; they
     stay in order because their distances are fitted as logarithms.
     """
     rows = np.repeat(np.arange(len(features)), [len(i) for i, _ in features])
     index = np.concatenate([i for i, _ in features])
     value = np.concatenate([v for _, v in features]).astype(np.float64)
-    common = np.bincount(index, minlength=DIM)[index] >= least_docs
+    common = np.bincount(index, minlength=DIM)[index] >= max(3, len(grades) // 600)
     rows, value = rows[common], value[common]
     used, index = np.unique(index[common], return_inverse=True)
     n, dim = len(grades), len(used)
@@ -251,6 +250,6 @@ def rate(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def select(rated: DataFrame, least: float = 0.5) -> DataFrame:
+def select(rated: DataFrame, least: float = 0.75) -> DataFrame:
     """Whether the tail reaches ``least``, as the column ``kept``; true where nothing is known."""
     return rated.withColumn("kept", F.coalesce(F.col("tail") >= least, F.lit(True)))
