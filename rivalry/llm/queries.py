@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import chat, decontaminate, pages, quality, repeats, rules, shards
+from rivalry.llm import chat, decontaminate, pages, quality, repeats, rules, shards, similar
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,11 @@ select doc_id, slot::int as slot, shard::int as shard from placed join owners us
 """
 
 
+def op5_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similar.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("_id", "doc_id")
+
+
 def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -235,6 +240,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op3_quality": op3_quality,
     "op4_shards": op4_shards,
+    "op5_similar": op5_similar,
     "op6_rules": op6_rules,
     "op8_repeats": op8_repeats,
     "op9_pages": op9_pages,
