@@ -31,8 +31,14 @@ SPACE = "▁"
 #: Positions between two attempts to commit ids.
 COMMIT = 64
 
-#: Longest stretch that is remembered, and how many are.
-REMEMBERED, CACHE = 64, 400_000
+#: Stands for that character in a text, where it is no space; no stretch ends so.
+LITERAL = "\0" + SPACE
+
+#: Bytes of text that a task encodes together.
+PART = 4_000_000
+
+#: Longest stretch that is remembered, and how many are in each half of the memory.
+REMEMBERED, CACHE = 64, 250_000
 
 
 @dataclass
@@ -51,7 +57,11 @@ class Vocabulary:
     def __post_init__(self) -> None:
         self.texts = {i: p for p, i in self.pieces.items()}
         self.longest = max(map(len, self.pieces), default=1)
-        self.beginnings = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
+        #: The id of each piece, and -1 for what pieces end with.
+        self.endings = {p[k:]: -1 for p in self.pieces for k in range(len(p))} | self.pieces
+        #: Pairs of characters inside pieces; all paths share the border inside any other pair.
+        self.inner = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
+        self.break_apart = not any("\n" in p for p in self.pieces)
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece has a space after another character")
 
@@ -82,9 +92,12 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.known: dict[str, bytes] = {}
+        # stretches of late and of before; the older half goes when the younger is full
+        self.known: dict[str, bytes] = {LITERAL: self._packed([-ord(SPACE)])}
+        self.older: dict[str, bytes] = {}
         self.made: dict[int, tuple | None] = {}
-        self.agree: dict[tuple[int, int], bool] = {}
+        self.agree: dict[int | None, dict[int, bool]] = {}
+        self.pairs = 0
 
     def _making(self, piece: int) -> tuple | None:
         """How merges make a piece: its last parts and its first parts over time, each with the
@@ -109,16 +122,17 @@ class Encoder:
         whole = (parts[0], np.inf)
         return ([*first, whole], [*last, whole])
 
-    def _follows(self, one: int, two: int) -> bool:
+    def _follows(self, one: int | None, two: int) -> bool:
         """Whether no merge joins a last part of ``one`` with a first part of ``two`` in time.
 
-        Of merges of equal rank the left one comes first.
+        Of merges of equal rank the left one comes first. At the start of a stretch, and after
+        an unknown character, the merges need only give ``two`` itself.
         """
-        key = (one, two)
-        found = self.agree.get(key)
-        if found is None:
-            pieces, scores = self.v.pieces, self.v.scores
-            found = True
+        pieces, scores = self.v.pieces, self.v.scores
+        if two not in self.made:
+            self.made[two] = self._making(two)
+        found = self.made[two] is not None
+        if found and one is not None and one >= 0:
             for left, ends_left in self.made[one][1]:
                 for right, ends_right in self.made[two][0]:
                     joined = pieces.get(left + right)
@@ -126,52 +140,53 @@ class Encoder:
                         rank = -scores[joined]
                         if rank < ends_left and rank <= ends_right:
                             found = False
-            if len(self.agree) >= 4 * CACHE:
-                self.agree.clear()
-            self.agree[key] = found
+        self.pairs += 1
+        if self.pairs % (4 * CACHE) == 0:
+            for known in self.agree.values():
+                known.clear()
+        self.agree[one][two] = found
         return found
 
-    def stream(self, text: str) -> Iterator[list[int]]:
-        """The pieces of a stretch, as lists that are final; unknown characters are -code point."""
-        v, merges, n = self.v, self.v.merges, len(text)
-        pieces, beginnings, longest = v.pieces, v.beginnings, v.longest
-        back: list[int | None] = [None] * (longest + 1)  # the piece that ends at base + index
-        value = [0.0] * (longest + 1)
-        base = 0
-        for s in range(n):
-            at = s - base
-            back.append(None)
-            value.append(0.0)
-            before = back[at]
-            reached = False
-            for e in range(s + 1, min(n, s + longest) + 1):
-                part = text[s:e]
-                if part not in beginnings:
+    def _step(self, text: str, e: int, back: list, value: list) -> None:
+        """Add the best piece that ends at ``e``, and the score of its path, to the lists.
+
+        Unknown characters are -code point; with scores they count as worse than any piece.
+        """
+        endings, agree, scores = self.v.endings, self.agree, self.v.scores
+        best, most = None, 0.0
+        for s in range(e - 1, -1, -1):
+            piece = endings.get(text[s:e])
+            if piece is None:
+                break
+            if piece < 0:
+                continue
+            before = back[s]
+            if self.v.merges:
+                follows = agree.get(before)
+                if follows is None:
+                    follows = agree[before] = {}
+                good = follows.get(piece)
+                if good is None:
+                    good = self._follows(before, piece)
+                if good:
+                    best = piece
                     break
-                piece = pieces.get(part)
-                if piece is None:
-                    continue
-                reached |= e == s + 1
-                k = e - base
-                if not merges:
-                    total = value[at] + v.scores[piece]
-                    if back[k] is None or total > value[k]:
-                        back[k], value[k] = piece, total
-                elif back[k] is None:
-                    if piece not in self.made:
-                        self.made[piece] = self._making(piece)
-                    if self.made[piece] is not None and (
-                        before is None or before < 0 or self._follows(before, piece)
-                    ):
-                        back[k] = piece
-            if not reached:
-                # a character that is no piece; with scores it counts as worse than any piece
-                k = at + 1
-                total = value[at] - 1e6
-                if back[k] is None or (not merges and total > value[k]):
-                    back[k], value[k] = -ord(text[s]), total
-            if at >= COMMIT:
-                front = {k - self._length(back[k]) for k in range(at + 1, len(back)) if back[k] is not None}
+            elif best is None or value[s] + scores[piece] > most:
+                best, most = piece, value[s] + scores[piece]
+        if best is None:
+            best, most = -ord(text[e - 1]), value[e - 1] - 1e6
+        back.append(best)
+        value.append(most)
+
+    def stream(self, text: str) -> Iterator[list[int]]:
+        """The pieces of a stretch, as lists that are final, with a window of bounded length."""
+        longest = self.v.longest
+        back, value, base = [None], [0.0], 0
+        for e in range(1, len(text) + 1):
+            self._step(text[base:e], e - base, back, value)
+            if len(back) >= COMMIT + longest:
+                # a later piece starts at one of the last positions
+                front = set(range(len(back) - longest, len(back)))
                 while len(front) > 1:
                     k = max(front)
                     front.remove(k)
@@ -179,82 +194,118 @@ class Encoder:
                 meet = front.pop()
                 if meet > 0:
                     yield self._path(back, meet)
-                    del back[1 : meet + 1], value[:meet]
+                    del back[:meet], value[:meet]
                     base += meet
-                    back[0] = self._last
-        if n:
-            yield self._path(back, n - base)
+        yield self._path(back, len(text) - base)
+
+    def _search(self, stretches: list[str]) -> None:
+        """Remember the ids of stretches. In sorted order, each goes on where it leaves the one
+        before: the best pieces up to there are the same."""
+        back, value, last = [None], [0.0], ""
+        for text in sorted(stretches):
+            same, most = 0, min(len(text), len(last))
+            while same < most and text[same] == last[same]:
+                same += 1
+            del back[same + 1 :], value[same + 1 :]
+            for e in range(same + 1, len(text) + 1):
+                self._step(text, e, back, value)
+            last = text
+            self.known[text] = self._packed(self._path(back, len(text)))
 
     def _length(self, piece: int) -> int:
         return 1 if piece < 0 else len(self.v.texts[piece])
 
     def _path(self, back: list, end: int) -> list[int]:
-        self._last = back[end]
         path = []
         while end > 0:
             path.append(back[end])
             end -= self._length(path[-1])
         return path[::-1]
 
-    def stretch(self, text: str) -> bytes:
-        """Ids of a stretch as packed 32-bit integers; unknown characters become bytes."""
+    def _packed(self, path: list[int]) -> bytes:
+        """Ids as 32-bit integers; unknown characters become bytes."""
         ids: list[int] = []
-        for part in self.stream(text):
-            for piece in part:
-                if piece >= 0:
-                    ids.append(piece)
-                else:
-                    ids += (self.v.bytes_[b] for b in chr(-piece).encode())
+        for piece in path:
+            if piece >= 0:
+                ids.append(piece)
+            else:
+                ids += (self.v.bytes_[b] for b in chr(-piece).encode())
         return np.array(ids, np.int32).tobytes()
 
-    def _remember(self, text: str) -> bytes:
-        found = self.known.get(text)
-        if found is None:
-            found = self.stretch(text)
-            if len(text) <= REMEMBERED:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                self.known[text] = found
-        return found
+    def _prepare(self, stretches: set[str]) -> None:
+        """Search the stretches not seen before, all together.
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text. A space stands before it, as the models have it; a character of the text
+        All paths share the borders that no piece has inside, so what follows one is apart.
+        """
+        if len(self.known) >= CACHE:
+            self.known, self.older = {}, self.known
+            self.known[LITERAL] = self.older[LITERAL]
+        known, older, inner = self.known, self.older, self.v.inner
+        new, ends = set(), {}
+        for text in stretches:
+            if text in known:
+                continue
+            if text in older:
+                known[text] = older[text]
+                continue
+            core = text
+            while len(core) > 1 and core[-2:] not in inner:
+                core = core[:-1]
+                new.add(text[len(core)])
+            if core != text:
+                ends[text] = core
+            new.add(core)
+        self._search([x for x in new if len(x) <= REMEMBERED and x not in known])
+        for x in new:
+            if len(x) > REMEMBERED:
+                known[x] = b"".join(self._packed(part) for part in self.stream(x))
+        for text, core in ends.items():
+            known[text] = b"".join([known[core], *map(known.__getitem__, text[len(core) :])])
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Ids of texts. A space stands before each, as the models have it; a character of a text
         that looks like the one for spaces is written as bytes, so that every text decodes."""
+        split = [None if t is None else self._split(t) for t in texts]
+        seen = set().union(*(parts for parts in split if parts))
+        self._prepare(seen)
+        find = self.known.__getitem__
+        ids = [
+            None if parts is None else np.frombuffer(b"".join(map(find, parts)), np.int32)
+            for parts in split
+        ]
+        for text in [x for x in seen if len(x) > REMEMBERED]:
+            del self.known[text]
+        return ids
+
+    def _split(self, text: str) -> list[str]:
+        """The stretches of a text in order, ``LITERAL`` for the character that marks a space."""
         if not text:
-            return np.empty(0, np.int32)
+            return []
         if SPACE in text:
-            return np.concatenate(
-                [
-                    x
-                    for k, part in enumerate(text.split(SPACE))
-                    for x in (self._literal(k), self._encode(part, bool(k)))
-                ]
-            )
-        return self._encode(text, False)
-
-    def _literal(self, k: int) -> np.ndarray:
-        # the first stretch still has the space before it
-        return np.array([self.v.bytes_[b] for b in SPACE.encode()] if k else [], np.int32)
-
-    def _encode(self, text: str, inside: bool) -> np.ndarray:
-        parts = text.split(" ")
-        if inside:
-            # what follows a literal character has no space before it
-            head, parts = [parts[0]] if parts[0] else [], parts[1:]
-        else:
-            head = []
-        stretches, spaces = head, 1
-        for part in parts:
-            if part:
-                stretches.append(SPACE * spaces + part)
-                spaces = 1
-            else:
-                spaces += 1
-        if spaces > 1:
-            stretches.append(SPACE * (spaces - 1))
-        known, remember = self.known, self._remember
-        packed = b"".join([known.get(x) or remember(x) for x in stretches])
-        return np.frombuffer(packed, np.int32)
+            out = []
+            for k, part in enumerate(text.split(SPACE)):
+                if k:
+                    out.append(LITERAL)
+                out += self._stretches(part, k == 0)
+            return out
+        return self._stretches(text, True)
+
+    def _stretches(self, text: str, first: bool) -> list[str]:
+        if "  " in text or (first and text[:1] == " "):
+            # runs of spaces stay with what follows
+            out, spaces = [], int(first)
+            for part in text.split(" "):
+                if part:
+                    out += self._lines(SPACE * spaces + part).split(" ")
+                    spaces = 1
+                else:
+                    spaces += 1
+            return [*out, SPACE * (spaces - 1)] if spaces > 1 else out
+        return self._lines((SPACE if first else "") + text.replace(" ", " " + SPACE)).split(" ")
+
+    def _lines(self, text: str) -> str:
+        """Line breaks apart, if no piece has one; between two of them is an empty stretch."""
+        return text.replace("\n", " \n ") if self.v.break_apart else text
 
 
 class Decoder:
@@ -294,10 +345,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "text") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
         for batch in batches:
-            # parts of a batch, so that ids in work stay few
-            for small in _parts(batch):
+            for small in _parts(batch, column):
                 texts = small.column(column).to_pylist()
-                ids = [None if t is None else encoder.encode(t) for t in texts]
+                ids = encoder.encode(texts)
                 exact = [t is None or decoder.decode(i) == t for t, i in zip(texts, ids, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -312,8 +362,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "text") -> Dat
     return rows.mapInArrow(run, schema)
 
 
-def _parts(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    return (batch.slice(a, rows) for a in range(0, max(1, batch.num_rows), rows))
+def _parts(batch: pa.RecordBatch, column: str, size: int = PART) -> Iterator[pa.RecordBatch]:
+    """Rows with texts of about ``size`` bytes together, so that what is in work stays bounded."""
+    texts = batch.column(column).cast(pa.binary())
+    ends = np.cumsum([len(x) if (x := t.as_py()) else 0 for t in texts])
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + size)))
+        yield batch.slice(first, last - first)
+        first = last
 
 
 def _lists(ids: list[np.ndarray | None]) -> pa.Array:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import chat, decontaminate, pages, quality, repeats, rules, shards, similar
+from rivalry.llm import chat, decontaminate, pages, pieces, quality, repeats, rules, shards, similar
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -235,6 +235,17 @@ with articles as (
 select page_id, url, text, length(text) as n_chars from texts
 """
 
+
+#: A public model that merges pairs; any other SentencePiece model file will do.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFrame:
+    """doc_id, ids, n_ids, exact: the ids of every document, decoded again and compared."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(documents, pieces.Vocabulary.load(model)).drop("text")
+
+
 QUERIES = {
     "op1_overlaps": op1_overlaps,
     "op2_chat": op2_chat,
@@ -244,6 +255,7 @@ QUERIES = {
     "op6_rules": op6_rules,
     "op8_repeats": op8_repeats,
     "op9_pages": op9_pages,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLE = {
