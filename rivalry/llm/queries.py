@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import chat, decontaminate, pages, pieces, quality, repeats, rules, shards, similar
+from rivalry.llm import chat, decontaminate, pages, pieces, pii, quality, repeats, rules, shards, similar
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -169,6 +169,16 @@ from breached
 """
 
 
+#: Of a deployment's own secret store; surrogates can't be told without it.
+KEY = "change-me"
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text, n_entities: every document with surrogates for personal data."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(documents, KEY)
+
+
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["stop"] - s["start"])
@@ -253,6 +263,7 @@ QUERIES = {
     "op4_shards": op4_shards,
     "op5_similar": op5_similar,
     "op6_rules": op6_rules,
+    "op7_pii": op7_pii,
     "op8_repeats": op8_repeats,
     "op9_pages": op9_pages,
     "op10_pieces": op10_pieces,
