@@ -270,4 +270,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds
     A null id can't be told from another one: if a text without id overlaps, all such rows go.
     """
     found = overlaps(docs, benchmark, bounds).select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(found, F.col("row.doc_id").eqNullSafe(F.col("found_id")), "left_anti").select(
+        "row.*"
+    )

@@ -93,7 +93,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         # stretches of late and of before; the older half goes when the younger is full
-        self.known: dict[str, bytes] = {LITERAL: self._packed([-ord(SPACE)])}
+        self.known: dict[str, bytes] = {LITERAL: self._packed([-1 - ord(SPACE)])}
         self.older: dict[str, bytes] = {}
         self.made: dict[int, tuple | None] = {}
         self.agree: dict[int | None, dict[int, bool]] = {}
@@ -150,7 +150,7 @@ class Encoder:
     def _step(self, text: str, e: int, back: list, value: list) -> None:
         """Add the best piece that ends at ``e``, and the score of its path, to the lists.
 
-        Unknown characters are -code point; with scores they count as worse than any piece.
+        Unknown characters are -1 - code point; with scores they count as worse than any piece.
         """
         endings, agree, scores = self.v.endings, self.agree, self.v.scores
         best, most = None, 0.0
@@ -174,7 +174,7 @@ class Encoder:
             elif best is None or value[s] + scores[piece] > most:
                 best, most = piece, value[s] + scores[piece]
         if best is None:
-            best, most = -ord(text[e - 1]), value[e - 1] - 1e6
+            best, most = -1 - ord(text[e - 1]), value[e - 1] - 1e6
         back.append(best)
         value.append(most)
 
@@ -229,7 +229,7 @@ class Encoder:
             if piece >= 0:
                 ids.append(piece)
             else:
-                ids += (self.v.bytes_[b] for b in chr(-piece).encode())
+                ids += (self.v.bytes_[b] for b in chr(-1 - piece).encode())
         return np.array(ids, np.int32).tobytes()
 
     def _prepare(self, stretches: set[str]) -> None:

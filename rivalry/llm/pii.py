@@ -216,17 +216,17 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     A null text stays null. Null and repeated ids are no matter: rows that repeat id and text get
     equal results. A column named n_entities is replaced. An empty table gives an empty result.
     """
-    rows = docs.drop("n_entities")
-    text = F.col("text")
+    text = F.col("row.text")
+    rows = docs.drop("n_entities").select(F.struct("*").alias("row"))
     hinted = text.isNotNull() & text.rlike(HINT)
     mentions = F.when(hinted, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     found = F.coalesce(F.size(mentions), F.lit(0))
-    rest = rows.where(F.coalesce(found <= 0, F.lit(True))).withColumn("n_entities", F.lit(0).cast("long"))
+    rest = rows.where(F.coalesce(found <= 0, F.lit(True)))
     # rows of equal id and text are one
-    tagged = (
-        rows.where(found > 0)
-        .withColumn("_id", F.xxhash64(F.lit(1), "doc_id", "text"))
-        .withColumn("_tie", F.xxhash64(F.lit(2), "text", "doc_id"))
+    tagged = rows.where(found > 0).select(
+        "row",
+        F.xxhash64(F.lit(1), "row.doc_id", text).alias("_id"),
+        F.xxhash64(F.lit(2), text, "row.doc_id").alias("_tie"),
     )
     single = tagged.select("_id", "_tie", F.posexplode(mentions).alias("place", "mention"))
     typed = single.withColumn("kind", _kind(F.col("mention")))
@@ -238,7 +238,7 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
         .agg(F.sort_array(F.collect_set("new")).alias("new"))
     )
     # the text between the mentions, one part more than there are mentions
-    parts = F.split(text, ANY, -1)
+    changed = tagged.join(replaced, ["_id", "_tie"]).withColumn("parts", F.split(text, ANY, -1))
     joined = F.array_join(
         F.transform(
             F.sequence(F.lit(0), F.size("new")),
@@ -246,11 +246,9 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
         ),
         "",
     )
-    changed = (
-        tagged.join(replaced, ["_id", "_tie"])
-        .withColumn("parts", parts)
-        .withColumn("text", joined)
-        .withColumn("n_entities", F.size("new").cast("long"))
-        .select(*rows.columns, "n_entities")
+    changed = changed.select(
+        F.col("row").withField("text", joined).alias("row"), F.size("new").cast("long").alias("n")
+    )
+    return rest.select("row.*", F.lit(0).cast("long").alias("n_entities")).union(
+        changed.select("row.*", F.col("n").alias("n_entities"))
     )
-    return rest.select(*rows.columns, "n_entities").union(changed)

@@ -290,8 +290,8 @@ def one_of_each(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """
     stay = near_duplicates(docs, forest).where("_id = class_id").select("_id").distinct()
     return (
-        docs.withColumn("_id", F.expr(UNNAMED.format(id="doc_id")))
+        docs.select(F.struct("*").alias("row"), F.expr(UNNAMED.format(id="doc_id")).alias("_id"))
         .join(stay, "_id")
         .dropDuplicates(["_id"])
-        .select(*docs.columns)
+        .select("row.*")
     )

@@ -1,0 +1,77 @@
+import itertools
+import random
+
+import pytest
+
+from rivalry.llm import pieces
+from rivalry.llm.queries import MODEL
+from tests.llm.conftest import ODD
+
+sentencepiece = pytest.importorskip("sentencepiece")
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pieces.Vocabulary.load(MODEL)
+
+
+def texts():
+    pick = random.Random(8)
+    alphabet = " abcdehinorst   éñ漢\n\t😀Qz019.,"
+    some = ["".join(pick.choices(alphabet, k=pick.randint(0, 60))) for _ in range(600)]
+    return [*some, "a" * 700, " " * 90, "ab" * 400, "the" * 300 + "  x", "\n\n x", "x" * 63 + "ing" * 40]
+
+
+def test_ids_are_those_of_the_merges(vocabulary):
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    got = pieces.Encoder(vocabulary).encode(texts())
+    assert [g.tolist() for g in got] == model.encode(texts())
+
+
+def test_every_text_decodes(vocabulary):
+    encoder, decoder = pieces.Encoder(vocabulary), pieces.Decoder(vocabulary)
+    some = [*texts(), "▁", "a▁ ▁▁b", " ▁", "▁\n", "﻿\x00"]
+    assert [decoder.decode(i) for i in encoder.encode(some)] == some
+
+
+def test_the_window_commits_what_the_whole_search_finds(vocabulary):
+    encoder = pieces.Encoder(vocabulary)
+    for text in ("thetionin" * 100, "a" * 1000, "xyzzy" * 77):
+        parts = list(encoder.stream(text))
+        assert len(parts) > 3
+        encoder._search([text])
+        assert b"".join(map(encoder._packed, parts)) == encoder.known[text]
+
+
+def test_scores_give_the_best_sum():
+    pick = random.Random(1)
+    found = ["".join(p) for n in (1, 2, 3) for p in itertools.product("abc", repeat=n)]
+    scores = {k: -pick.random() * 9 for k in range(len(found))}
+    vocabulary = pieces.Vocabulary(
+        {p: k for k, p in enumerate(found)}, scores, list(range(100, 356)), merges=False
+    )
+    encoder = pieces.Encoder(vocabulary)
+    for _ in range(30):
+        text = "".join(pick.choices("abc", k=9))
+        best = max(
+            sum(scores[vocabulary.pieces[p]] for p in cut)
+            for bits in range(1 << 8)
+            if max(map(len, cut := cuts(text, bits))) <= 3
+        )
+        got = [k for part in encoder.stream(text) for k in part]
+        assert abs(sum(scores[k] for k in got) - best) < 1e-9
+
+
+def cuts(text, bits):
+    borders = [0, *(k + 1 for k in range(len(text) - 1) if bits >> k & 1), len(text)]
+    return [text[a:b] for a, b in zip(borders, borders[1:])]
+
+
+def test_odd_rows(documents, vocabulary):
+    docs = documents([*ODD, (9, "long " * 30_000)])
+    encoded = pieces.encode(docs, vocabulary)
+    assert encoded.columns == [*docs.columns, "ids", "n_ids", "exact"]
+    rows = pieces.decode(encoded, vocabulary).collect()
+    assert len(rows) == docs.count() and all(r.exact and r.decoded == r.text for r in rows)
+    assert {r.doc_id: r.ids for r in rows}[1] is None and {r.doc_id: r.ids for r in rows}[2] == []
+    assert pieces.encode(documents([]), vocabulary).count() == 0
