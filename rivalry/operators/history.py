@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from rivalry.operators.skew import (
     HOT_COUNT,
@@ -26,9 +27,6 @@ from rivalry.operators.skew import (
 )
 from rivalry.session import stored
 
-# Range partitions of one shuffle; beyond it the chunks get longer instead.
-MAX_CHUNKS = 20_000
-
 CHUNK = "__chunk"
 ROW = "__row"
 CARRY = "__carry"
@@ -125,7 +123,9 @@ def _by_chunks(
     hot_rows: int,
 ) -> DataFrame:
     total = hot.agg(F.sum(HOT_COUNT)).first()[0]
-    parts = min(max(2, -(-2 * total // hot_rows)), MAX_CHUNKS)
+    parts = max(2, -(-2 * total // hot_rows))
+    # the same types as by window, whatever the sums of sums below would widen to
+    types = {f.name: f.dataType for f in _by_window(df, keys, order, scan).schema}
     rows = (
         with_keys(df, hot, keys)
         .repartitionByRange(parts, F.col(HOT_ID), *ordering(order))
@@ -133,13 +133,15 @@ def _by_chunks(
     )
     # The chunk numbers come from a sampled range partitioning: store the scanned chunks once,
     # so that both uses below see the same numbers and none scans or shuffles the rows again.
-    local = stored(_local_scan(rows, order, scan))
+    local = stored(_local_scan(rows, order, scan, types))
     carry = _carry_over(local, scan)
     joined = local.join(carry, [HOT_ID, CHUNK], "left")
-    return joined.select(*df.columns, *_combine(scan))
+    return joined.select(*df.columns, *_combine(scan, types))
 
 
-def _local_scan(rows: DataFrame, order: list[str], scan: Scan) -> DataFrame:
+def _local_scan(
+    rows: DataFrame, order: list[str], scan: Scan, types: dict[str, DataType]
+) -> DataFrame:
     """Each chunk on its own. Kept under ``__`` names, with the row number in the chunk."""
     spec = Window.partitionBy(HOT_ID, CHUNK).orderBy(*ordering(order))
     so_far = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -148,7 +150,9 @@ def _local_scan(rows: DataFrame, order: list[str], scan: Scan) -> DataFrame:
     values += [F.sum(c).over(so_far).alias(f"__sum_{n}") for n, c in scan.sums.items()]
     for n, c in scan.means.items():
         values += [
-            F.sum(c.cast("double")).over(so_far).alias(f"__total_{n}"),
+            F.sum(c if isinstance(types[n], DecimalType) else c.cast("double"))
+            .over(so_far)
+            .alias(f"__total_{n}"),
             F.count(c).over(so_far).alias(f"__count_{n}"),
         ]
     values += [
@@ -255,16 +259,18 @@ def _added(local: str) -> Column:
     return F.coalesce(here + there, here, there)
 
 
-def _rolled(name: str, n: int) -> Column:
+def _rolled(name: str, n: int, kind: DataType) -> Column:
     """The rolling sum, completed from the carried tail where the chunk is too short."""
-    local, tail = F.col(f"__roll_{name}"), F.col(f"{CARRY}_tail")
+    local, tail = F.col(f"__roll_{name}").cast(kind), F.col(f"{CARRY}_tail")
     missing = F.greatest(F.lit(n) - F.col(ROW), F.lit(0))
     reached = F.slice(tail, F.greatest(F.size(tail) - missing + 1, F.lit(1)), missing)
-    completed = F.aggregate(reached, local, lambda acc, item: acc + item["__values"][name])
+    completed = F.aggregate(
+        reached, local, lambda acc, item: (acc + item["__values"][name]).cast(kind)
+    )
     return F.when((F.col(ROW) < n) & tail.isNotNull(), completed).otherwise(local)
 
 
-def _combine(scan: Scan) -> list[Column]:
+def _combine(scan: Scan, types: dict[str, DataType]) -> list[Column]:
     out = [_added(f"__sum_{n}").alias(n) for n in scan.sums]
     out += [
         F.try_divide(_added(f"__total_{n}"), _added(f"__count_{n}")).alias(n) for n in scan.means
@@ -273,13 +279,13 @@ def _combine(scan: Scan) -> list[Column]:
         F.coalesce(F.col(f"__last_{n}"), F.col(f"{CARRY}__last_{n}")).alias(n) for n in scan.last
     ]
     out += [F.col(f"{CARRY}__first_{n}").alias(n) for n in scan.first]
-    out += [_rolled(name, n).alias(name) for name, (_, n) in scan.rolling.items()]
+    out += [_rolled(name, n, types[name]).alias(name) for name, (_, n) in scan.rolling.items()]
     for n in scan.streaks:
         held = _added(_streak_sum(n))
         before = F.coalesce(F.col(CARRY + _streak_sum(n)), F.lit(0))
         broke = F.greatest(before + F.col(f"__break_{n}"), F.col(f"{CARRY}__break_{n}"))
         out.append((held - F.coalesce(broke, F.lit(0))).alias(n))
-    return out
+    return [c.cast(types[n]).alias(n) for c, n in zip(out, scan.outputs(), strict=True)]
 
 
 def fill_within(

@@ -129,14 +129,16 @@ def previous_time(
         F.col(right_time or time).cast(left.schema[time].dataType).alias(time),
     ).where(known)
     marks = times.distinct().withColumn("__mark", F.lit(1))
-    probes = left.where(known).withColumn("__mark", F.lit(0))
+    # rows of one entity and time are told apart, so that a chunk need not hold all of them
+    spread = F.xxhash64(*[F.col(c) for c in left.columns])
+    probes = left.where(known).withColumn("__mark", F.lit(0)).withColumn("__spread", spread)
     both = probes.unionByName(marks, allowMissingColumns=True)
     seen = Scan(last={out: F.when(F.col("__mark") == 1, F.col(time))})
     if bound is None:
         # Counting the right rows before ``distinct`` saves its shuffle; more only seem hot.
         bound = probes.select(by).unionAll(times.select(by))
-    scanned = running(both, [by], [time, "__mark"], seen, hot_rows, bound)
-    return scanned.where(F.col("__mark") == 0).drop("__mark")
+    scanned = running(both, [by], [time, "__mark", "__spread"], seen, hot_rows, bound)
+    return scanned.where(F.col("__mark") == 0).drop("__mark", "__spread")
 
 
 def asof_join(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from rivalry.operators.history import ordering
-from rivalry.operators.learn import min_max_scale
+from rivalry.operators.learn import SCALED, classifier_pipeline, min_max_scale
 from rivalry.operators.sample import exact_split
 from rivalry.operators.stats import (
     classification_metrics,
@@ -13,7 +14,6 @@ from rivalry.operators.stats import (
     conditional_rate,
     confusion_matrix,
     correlation_with_target,
-    f_scores,
     metrics_long,
     metrics_table,
     top_bottom,
@@ -66,8 +66,11 @@ def q_f_scores(spark, sf):
 
 def q_select_k(spark, sf):
     """The two columns that tell most about the target."""
-    out = f_scores(_returned(spark, sf), [*NUMBERS, "fixed"], "returned")
-    return out.orderBy(F.col("f_score").desc_nulls_last(), "feature").limit(2).select("feature")
+    rows = _returned(spark, sf)
+    chosen = classifier_pipeline([*NUMBERS, "fixed"], "returned", LogisticRegression(), k=2)
+    model = chosen.getStages()[0].fit(rows)
+    names = [c.removeprefix(SCALED) for c in model.stages[-1].getInputCols()]
+    return spark.createDataFrame([(c,) for c in names], "feature string")
 
 
 def q_minmax(spark, sf):

@@ -128,3 +128,38 @@ def test_first_per_group(spark, rows):
     got = first_per_group(df, ["key"], ["day"])
     assert rows(got, "id") == [(2,), (3,)]
     assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "float", "decimal(12,2)", "decimal(38,10)"])
+def test_hot_keys_change_neither_types_nor_values(spark, kind):
+    df, _ = histories(spark, rows=150)
+    x = (F.col("x") / 7).cast(kind)
+    scan = Scan(
+        sums={"total": x},
+        means={"mean": x},
+        last={"last": x},
+        first={"first": x},
+        rolling={"last3": (x, 3), "last20": (x, 20)},
+        streaks={"streak": F.col("flag")},
+    )
+    order = ["day", "id"]
+    plain = running(df, ["key"], order, scan, hot_rows=None)
+    values = lambda t: {r["id"]: tuple(r)[5:] for r in t.collect()}
+    want = values(plain)
+    for limit in (5, 17):
+        hot = running(df, ["key"], order, scan, hot_rows=limit)
+        assert [(f.name, f.dataType) for f in hot.schema] == [(f.name, f.dataType) for f in plain.schema]
+        got = values(hot)
+        for i, row in want.items():
+            assert got[i] == (pytest.approx(row) if kind in ("double", "float") else row) or all(
+                a == b or abs(float(a) - float(b)) < 1e-5 * max(1, abs(float(b))) for a, b in zip(got[i], row)
+                if not (a is None and b is None)
+            )
+
+
+def test_dates_are_filled_alike(spark):
+    df, _ = histories(spark, rows=150)
+    scan = Scan(last={"before": F.when(F.col("flag"), F.col("day"))})
+    plain = running(df, ["key"], ["day", "id"], scan, hot_rows=None)
+    hot = running(df, ["key"], ["day", "id"], scan, hot_rows=5)
+    assert plain.schema == hot.schema and sorted(map(str, plain.collect())) == sorted(map(str, hot.collect()))

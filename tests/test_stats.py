@@ -97,10 +97,17 @@ def test_split_is_a_plain_filter(spark):
         assert "Exchange" not in plan and "Sort" not in plan and "Join" not in plan
 
 
-def test_split_needs_a_key(spark):
-    df = spark.createDataFrame([(1,)] * 10, "id int")
-    with pytest.raises(ValueError, match="do not identify"):
-        sample.exact_split(df, ["id"], 0.25)
+@pytest.mark.parametrize("small", [10_000, 2])
+def test_split_of_tied_and_equal_rows(spark, monkeypatch, small):
+    monkeypatch.setattr(sample, "SMALL", small)
+    # 60 equal rows, and keys of several rows
+    data = [(1, "same")] * 60 + [(2, f"row {i}") for i in range(60)] + [(3, None)] * 3
+    df = spark.createDataFrame(data, "id int, text string")
+    for seed in range(20):
+        part, rest = sample.exact_split(df, ["id"], 0.25, seed)
+        a, b = (sorted(map(str, x.collect())) for x in (part, rest))
+        assert len(a) == round(0.25 * len(data))
+        assert sorted(a + b) == sorted(map(str, df.collect()))
 
 
 def test_column_totals(spark, rows):
