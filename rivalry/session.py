@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,8 +31,8 @@ def get_spark(app: str = "rivalry", master: str | None = None, **conf) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own: on a
-    cluster a machine-local folder would be lost with its machine.
+    Only a local session without that setting gets a folder of its own, which goes when Python
+    ends: on a cluster a machine-local folder would be lost with its machine.
     """
     context = spark.sparkContext
     if context.getCheckpointDir():
@@ -39,20 +41,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if named:
         context.setCheckpointDir(named)
     elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="rivalry-checkpoint-"))
+        own = tempfile.mkdtemp(prefix="rivalry-checkpoint-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+#: Folders of the tables stored and not dropped yet.
+_FOLDERS: list[str] = []
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, for results that several jobs read.
 
     A written table cuts the lineage like ``checkpoint`` does and survives lost executors, but
-    later reads take only the columns they need, and Spark knows its size.
+    later reads take only the columns they need, and Spark knows its size. It stays until
+    :func:`drop_stored`.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     folder = spark.sparkContext.getCheckpointDir()
     path = f"{folder}/table-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete all stored tables, once the results that read them are written or fetched."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _FOLDERS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(hadoop).delete(path, True)

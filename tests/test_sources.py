@@ -77,3 +77,9 @@ def test_shared_folder_is_required_on_a_cluster():
     local = Session("local[2]")
     session.ensure_checkpoint_dir(local)
     assert os.path.isdir(local.sparkContext.folder)
+
+
+def test_csv_cells_may_hold_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name\n1,"two\nlines"\n2,"a ""quote"""\n')
+    got = [tuple(r) for r in files.read_raw(spark, str(tmp_path / "a.csv")).orderBy("id").collect()]
+    assert got == [("1", "two\nlines"), ("2", 'a "quote"')]
