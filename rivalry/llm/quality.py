@@ -250,6 +250,6 @@ def rate(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def select(rated: DataFrame, least: float = 0.75) -> DataFrame:
+def select(rated: DataFrame, least: float = 0.85) -> DataFrame:
     """Whether the tail reaches ``least``, as the column ``kept``; true where nothing is known."""
     return rated.withColumn("kept", F.coalesce(F.col("tail") >= least, F.lit(True)))
