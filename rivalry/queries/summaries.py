@@ -14,6 +14,7 @@ from rivalry.operators.stats import (
     conditional_rate,
     confusion_matrix,
     correlation_with_target,
+    f_scores,
     metrics_long,
     metrics_table,
     top_bottom,
