@@ -167,7 +167,8 @@ totals as (select held, sum(n_g) n, sum(s_g) s from groups group by held),
 listed as (select * from (values {listed}) t(prio, pos)),
 ranked as (
   select held, prio, s_g / n_g > 0.5 majority, row_number() over (partition by held order by
-    power(s_g / n - (n_g / n) * (s / n), 2) / ((n_g / n) * (1 - n_g / n)) desc, listed.pos) place
+    round(power(s_g / n - (n_g / n) * (s / n), 2) / ((n_g / n) * (1 - n_g / n)), 14) desc,
+    listed.pos) place
   from groups join totals using (held) join listed using (prio)),
 tried as (
   select k, held, avg((done = (majority and place <= k)::int)::int) accuracy
