@@ -59,6 +59,17 @@ def ordering(order: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
+@dataclass(frozen=True)
+class Busy:
+    """The hot keys of a history, or None if it has none."""
+
+    keys: DataFrame | None
+
+
+def find_busy(df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -> Busy:
+    return Busy(None if hot_rows is None else hot_keys(df, keys, hot_rows))
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -66,13 +77,16 @@ def running(
     scan: Scan,
     hot_rows: int | None = HOT_ROWS,
     bound: DataFrame | None = None,
+    busy: Busy | None = None,
 ) -> DataFrame:
     """``df`` with the outputs of ``scan``. ``hot_rows=None`` skips the check for hot keys.
 
     ``bound`` is a table that is cheaper to count and has at least as many rows per key.
+    ``busy`` is what an earlier count of such a table found, for several scans of one history.
     """
-    counted = df if bound is None else bound
-    hot = hot_keys(counted, keys, hot_rows) if hot_rows is not None else None
+    if busy is None:
+        busy = find_busy(df if bound is None else bound, keys, hot_rows)
+    hot = busy.keys
     if hot is None:
         return _by_window(df, keys, order, scan)
     cold = _by_window(without_keys(df, hot, keys), keys, order, scan)

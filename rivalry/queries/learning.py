@@ -7,8 +7,6 @@ it without changing its sign, and the prediction is the majority of the group's
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
@@ -18,7 +16,7 @@ from rivalry.operators.sample import exact_split
 from rivalry.plans import modelling
 from rivalry.plans import names as N
 from rivalry.queries import views as V
-from rivalry.session import ensure_checkpoint_dir, stored
+from rivalry.session import scratch_path, stored
 from rivalry.sources import files, models
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -126,8 +124,7 @@ def q_refit(spark, sf):
     """The model fitted again on all rows, saved and loaded, and its predictions."""
     rows = stored(_ended(spark, sf))
     model = L.classifier_pipeline(GROUPS, N.WIN, _plain()).fit(rows)
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/model-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     models.save_model(model, path)
     return L.score(rows, models.load_model(path)).select("o_orderkey", "predicted_win")
 
@@ -234,8 +231,7 @@ def q_csv_round_trip(spark, sf):
         F.concat(F.col("c_name"), F.lit('\n"of", '), F.col("c_mktsegment")).alias("described"),
         F.when(F.col("c_nationkey") > 5, F.col("c_nationkey").cast("string")).alias("nation"),
     )
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     files.write_csv(customers, path)
     return files.read_raw(spark, path)
 

@@ -10,6 +10,7 @@ from rivalry.operators.encode import drop_sparse, fill_mean, null_fractions, req
 from rivalry.operators.history import (
     Scan,
     fill_within,
+    find_busy,
     first_per_group,
     latest_per_group,
     running,
@@ -35,9 +36,9 @@ def _rate_sql(wins: str, losses: str, default: str) -> str:
     return f"coalesce({wins}::double / nullif({wins} + {losses}, 0), {default})"
 
 
-def running_totals(df, order=ORDER):
+def running_totals(df, order=ORDER, busy=None):
     scan = Scan(sums={"wins": _flag(F.col("win")), "losses": _flag(F.col("loss"))})
-    return running(df, ["entity_id"], order, scan).withColumn(
+    return running(df, ["entity_id"], order, scan, busy=busy).withColumn(
         "winrate", win_rate(F.col("wins"), F.col("losses"), F.lit(0.5))
     )
 
@@ -143,7 +144,8 @@ def q_running_by_category(spark, sf):
     df = V.history(spark, sf).withColumn("method", normalize_category(F.translate("method", "-", " ")))
     methods = category_domain(df, "method")
     scan = _grouped_scan("method", methods, "method", F.col("win"), ~F.col("win"))
-    out = running(running_totals(df), ["entity_id"], ORDER, scan)
+    busy = find_busy(df, ["entity_id"])
+    out = running(running_totals(df, busy=busy), ["entity_id"], ORDER, scan, busy=busy)
     return _grouped_rates(out, methods, "method").select(
         "contest_id", "entity_id", *_grouped_outputs(methods, "method")
     )
@@ -179,7 +181,8 @@ def q_running_by_opponent_category(spark, sf):
     rows = left_enrich(rows, homes, ["opponent_id"])
     homes_seen = category_domain(homes, "home")
     scan = _grouped_scan("home", homes_seen, "against", F.col("win"), ~F.col("win"))
-    out = running(running_totals(rows), ["entity_id"], ORDER, scan)
+    busy = find_busy(rows, ["entity_id"])
+    out = running(running_totals(rows, busy=busy), ["entity_id"], ORDER, scan, busy=busy)
     return _grouped_rates(out, homes_seen, "against").select(
         "contest_id", "entity_id", *_grouped_outputs(homes_seen, "against")
     )
@@ -202,7 +205,8 @@ def _rolling(df, order):
             for kind, flag in (("wins", "win"), ("losses", "loss"))
         }
     )
-    out = running(running_totals(df, order), ["entity_id"], order, scan)
+    busy = find_busy(df, ["entity_id"])
+    out = running(running_totals(df, order, busy), ["entity_id"], order, scan, busy=busy)
     rates = {
         f"last{n}_winrate": win_rate(
             F.col(f"last{n}_wins"), F.col(f"last{n}_losses"), F.col("winrate")

@@ -52,6 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 _FOLDERS: list[str] = []
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder name in the shared folder, for what :func:`drop_stored` deletes."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, for results that several jobs read.
 
@@ -60,10 +68,7 @@ def stored(df: DataFrame) -> DataFrame:
     :func:`drop_stored`.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    folder = spark.sparkContext.getCheckpointDir()
-    path = f"{folder}/table-{uuid.uuid4().hex}"
-    _FOLDERS.append(path)
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
