@@ -6,7 +6,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from rivalry.operators.history import ordering
-from rivalry.operators.learn import SCALED, classifier_pipeline, min_max_scale
+from rivalry.operators.learn import classifier_pipeline, min_max_scale
 from rivalry.operators.sample import exact_split
 from rivalry.operators.stats import (
     classification_metrics,
@@ -70,8 +70,7 @@ def q_select_k(spark, sf):
     rows = _returned(spark, sf)
     chosen = classifier_pipeline([*NUMBERS, "fixed"], "returned", LogisticRegression(), k=2)
     model = chosen.getStages()[0].fit(rows)
-    names = [c.removeprefix(SCALED) for c in model.stages[-1].getInputCols()]
-    return spark.createDataFrame([(c,) for c in names], "feature string")
+    return spark.createDataFrame([(c,) for c in model.stages[0].getInputCols()], "feature string")
 
 
 def q_minmax(spark, sf):
