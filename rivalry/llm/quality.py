@@ -20,10 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from rivalry.llm import words as W
+from rivalry.session import stored
 
-#: Labelled documents that a fit takes, chosen by hash of their id; the fit is one task.
+#: Labelled documents that a fit takes, chosen by grade and language; the fit is one task.
 SAMPLE = 12_000
 
+#: Rows that a feature must be in; one of fewer would learn single documents by heart.
+LEAST = 3
+
 #: Hash buckets of words, then of word shapes, then one for words that repeat the one before.
 WORDS, SHAPES = 1 << 18, 1 << 10
 DIM = WORDS + SHAPES + 1
@@ -87,21 +91,24 @@ def fit_model(
     n_grades: int,
     penalty: float = 1e-4,
     rounds: int = 100,
+    counts: np.ndarray | None = None,
 ) -> Model:
     """Penalised maximum likelihood over all rows, the same for the same input.
 
-    Only features of one row in 600, and of three at least, are used: rarer ones would learn
-    single documents by heart. Thresholds start at the observed shares, one row added to each grade; they
-    stay in order because their distances are fitted as logarithms.
+    ``counts`` says how many rows of the population each row stands for, by default one. Features
+    of at least ``LEAST`` rows are used, however many rows there are; the penalty holds back rare
+    ones. Thresholds start at the observed shares, one row added to each grade; they stay in order
+    because their distances are fitted as logarithms.
     """
     rows = np.repeat(np.arange(len(features)), [len(i) for i, _ in features])
     index = np.concatenate([i for i, _ in features])
     value = np.concatenate([v for _, v in features]).astype(np.float64)
-    common = np.bincount(index, minlength=DIM)[index] >= max(3, len(grades) // 600)
+    common = np.bincount(index, minlength=DIM)[index] >= LEAST
     rows, value = rows[common], value[common]
     used, index = np.unique(index[common], return_inverse=True)
     n, dim = len(grades), len(used)
     low, high = grades > 0, grades < n_grades - 1
+    share = np.full(n, 1 / n) if counts is None else counts / counts.sum()
 
     def cuts(params: np.ndarray) -> np.ndarray:
         return params[dim] + np.r_[0, np.cumsum(np.exp(params[dim + 1 :]))]
@@ -113,16 +120,16 @@ def fit_model(
         upper[high] = 1 / (1 + np.exp(np.clip(score[high] - at[grades[high]], -50, 50)))
         lower[low] = 1 / (1 + np.exp(np.clip(score[low] - at[grades[low] - 1], -50, 50)))
         chance = np.maximum(upper - lower, 1e-12)
-        by_score = (1 - upper - lower) / n
+        by_score = (1 - upper - lower) * share
         by_cut = np.zeros(n_grades - 1)
-        np.add.at(by_cut, grades[high], -(upper * (1 - upper) / chance)[high] / n)
-        np.add.at(by_cut, grades[low] - 1, (lower * (1 - lower) / chance)[low] / n)
+        np.add.at(by_cut, grades[high], -(upper * (1 - upper) / chance * share)[high])
+        np.add.at(by_cut, grades[low] - 1, (lower * (1 - lower) / chance * share)[low])
         later = np.cumsum(by_cut[::-1])[::-1]
         by_weight = np.bincount(index, value * by_score[rows], minlength=dim) + penalty * weights
         gradient = np.concatenate([by_weight, later[:1], later[1:] * np.exp(params[dim + 1 :])])
-        return -np.log(chance).mean() + penalty / 2 * weights @ weights, gradient
+        return -np.log(chance) @ share + penalty / 2 * weights @ weights, gradient
 
-    shares = np.cumsum(np.bincount(grades, minlength=n_grades) + 1.0)
+    shares = np.cumsum(np.bincount(grades, n * share, minlength=n_grades) + 1.0)
     start = np.log(shares[:-1] / (shares[-1] - shares[:-1]))
     params = np.concatenate([np.zeros(dim), start[:1], np.log(np.maximum(np.diff(start), 1e-3))])
     params = descend(loss, params, rounds)
@@ -167,22 +174,75 @@ def grade() -> Column:
     return F.col("quality") + 1 - F.col("toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """The model of the rated documents; None if there is none.
+#: Most strata of the sample, for the driver; the rest of the languages are taken together.
+STRATA = 1_000
+
+
+def quotas(sizes: dict[tuple[str, int], int], sample: int) -> dict[tuple[str, int], float]:
+    """How many rows each (language, grade) gives to a sample of ``sample`` rows.
 
-    ``docs`` has doc_id and text, ``labels`` doc_id, quality and toxic (0 or 1). Of several labels
-    of one document the lowest grade counts, labels with nulls don't. At most ``sample`` labelled
-    documents are taken, those whose id has the least hash; they, and so the fit, are bounded by
-    that parameter. All their text is read.
+    Up to half the sample, or what the best grade leaves, are of lower grades. Within each half the
+    strata get equal shares; what small ones can't fill goes to the others.
+    """
+
+    def fill(part: dict, places: float) -> dict:
+        shares, left = {}, places
+        for k, (key, n) in enumerate(sorted(part.items(), key=lambda x: (x[1], x[0]))):
+            shares[key] = min(float(n), left / (len(part) - k))
+            left -= shares[key]
+        return shares
+
+    best = {key: n for key, n in sizes.items() if key[1] == 2}
+    low = fill({k: n for k, n in sizes.items() if k not in best}, max(sample / 2, sample - sum(best.values())))
+    return low | fill(best, sample - sum(low.values()))
+
+
+def choose(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """doc_id, grade, n: the documents to fit on and how many labelled ones each stands for.
+
+    Small strata of language and grade are taken whole, so that low grades of rare languages come
+    in; of the others those whose id has the least hash, weighed by the share taken.
     """
     rated = (
         labels.select("doc_id", grade().cast("int").alias("grade"))
         .where("doc_id is not null and grade between 0 and 2")
         .groupBy("doc_id")
         .agg(F.min("grade").alias("grade"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
+    )
+    lang = F.min("lang") if "lang" in docs.columns else F.lit("")
+    known = docs.where("doc_id is not null").groupBy("doc_id").agg(F.coalesce(lang, F.lit("")).alias("lang"))
+    rated = stored(rated.join(known, "doc_id"))
+    by_size = rated.groupBy("lang", "grade").agg(F.count(F.lit(1)).alias("n"))
+    # bounded by the constant
+    sizes = {(r.lang, r.grade): r.n for r in by_size.orderBy(F.desc("n"), "lang", "grade").limit(STRATA).collect()}
+    others = by_size.agg(F.sum("n")).first()[0] or 0
+    others -= sum(sizes.values())
+    taken = quotas(sizes | ({("", -1): others} if others else {}), sample)
+    rates = {key: taken[key] / (sizes.get(key) or others) for key in taken}
+    listed = rated.sparkSession.createDataFrame(
+        [(*key, rate) for key, rate in rates.items()], "lang string, grade int, rate double"
+    )
+    rest = F.lit(rates.get(("", -1), 1.0))
+    # a hash as a number from 0 to 1; the least by rate are as many as the quotas
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return (
+        rated.join(F.broadcast(listed), ["lang", "grade"], "left")
+        .withColumn("rate", F.coalesce("rate", rest))
+        .orderBy(F.when(F.col("rate") < 1, place / F.col("rate")).otherwise(-1.0), F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
+        .select("doc_id", "grade", (1 / F.col("rate")).alias("n"))
     )
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+    """The model of the rated documents; None if there is none.
+
+    ``docs`` has doc_id, text and lang (without lang all are of one language), ``labels`` doc_id,
+    quality and toxic (0 or 1). Of several labels of one document the lowest grade counts, labels
+    with nulls don't. At most ``sample`` labelled documents are taken, by grade and language (see
+    :func:`choose`); they, and so the fit, are bounded by that parameter. All their text is read.
+    """
+    rated = choose(docs, labels, sample)
     # bounded by the parameter
     texts = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id").dropDuplicates(["doc_id"])
 
@@ -194,10 +254,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
                 [
                     batch.column("doc_id"),
                     batch.column("grade"),
+                    batch.column("n"),
                     pa.array([i.tobytes() for i, _ in found], pa.binary()),
                     pa.array([v.tobytes() for _, v in found], pa.binary()),
                 ],
-                names=["doc_id", "grade", "i", "v"],
+                names=["doc_id", "grade", "n", "i", "v"],
             )
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
@@ -206,12 +267,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
             (np.frombuffer(i, np.int32), np.frombuffer(v, np.float32))
             for i, v in zip(rows.i, rows.v, strict=True)
         ]
-        model = fit_model(pairs, rows.grade.to_numpy(np.int64), 3)
+        model = fit_model(pairs, rows.grade.to_numpy(np.int64), 3, counts=rows.n.to_numpy())
         return pd.DataFrame({"w": [model.weights.tobytes()], "t": [model.thresholds.tobytes()]})
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    described = texts.select("doc_id", "grade", "text").mapInArrow(
-        describe, f"doc_id {id_type}, grade int, i binary, v binary"
+    described = texts.select("doc_id", "grade", "n", "text").mapInArrow(
+        describe, f"doc_id {id_type}, grade int, n double, i binary, v binary"
     )
     row = described.groupBy().applyInPandas(train, "w binary, t binary").first()
     if row is None:

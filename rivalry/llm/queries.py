@@ -13,9 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = table(spark, sf_dir, "documents")
     model = quality.fit(documents, table(spark, sf_dir, "labels"))
-    return quality.select(quality.rate(documents, model)).drop("text")
+    return quality.select(quality.rate(documents.select("doc_id", "text"), model)).drop("text")
 
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]

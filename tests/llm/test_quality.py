@@ -79,3 +79,44 @@ def test_odd_rows(documents, spark, fitted):
     unknown = quality.select(quality.rate(documents(ODD), None)).collect()
     assert len(unknown) == len(ODD) and all(r.kept and r.tail is None for r in unknown)
     assert quality.rate(documents([]), fitted).count() == 0
+
+
+def rare_language(n, seed):
+    """A large language with rude words, a rare one whose rude words are in one row of 960 each."""
+    pick = random.Random(seed)
+    rows, labels = [], []
+    for k in range(n):
+        rare = k % 30 == 0
+        split = pick.choices([f"{'r' if rare else 'w'}{j}" for j in range(200)], k=30)
+        rude = k % 240 == 0 if rare else pick.random() < 0.3
+        if rude:
+            split[pick.randrange(30)] = pick.choice(["r901", "r902", "r903", "r904"] if rare else ["w901", "w902"])
+        rows.append((k, " ".join(split), "rr" if rare else "ww"))
+        labels.append((k, 1, int(rude)))
+    return rows, labels
+
+
+def test_rude_words_of_a_rare_language_count(spark):
+    rows, labels = rare_language(36_000, 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = quality.fit(docs, spark.createDataFrame(labels, LABELS))
+    more, marks = rare_language(36_000, 4)
+    rated = quality.select(quality.rate(spark.createDataFrame(more, docs.schema), model))
+    kept = {r.doc_id: r.kept for r in rated.collect()}
+    rude = [kept[i] for (i, _, lang), (_, _, toxic) in zip(more, marks, strict=True) if lang == "rr" and toxic]
+    assert len(rude) == 150 and np.mean(rude) < 0.1
+    clean = [kept[i] for i, _, toxic in marks if not toxic]
+    assert np.mean(clean) > 0.95
+
+
+def test_sample_takes_low_grades_of_rare_languages_first(spark):
+    sizes = {("a", 2): 9000, ("a", 1): 900, ("b", 2): 600, ("b", 1): 30, ("b", 0): 3}
+    got = quality.quotas(sizes, 1000)
+    assert got == {("b", 0): 3, ("b", 1): 30, ("a", 1): 467, ("b", 2): 250, ("a", 2): 250}
+    assert quality.quotas({("a", 2): 10, ("a", 0): 5000}, 1000) == {("a", 0): 990, ("a", 2): 10}
+    rows = [(k, "t", "b" if k % 100 == 0 else "a") for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(4000)], LABELS)
+    chosen = quality.choose(docs, labels, 400).collect()
+    assert len(chosen) == 400 and {r.doc_id for r in chosen} >= set(range(0, 4000, 100))
+    assert abs(sum(r.n for r in chosen) - 4000) < 400
