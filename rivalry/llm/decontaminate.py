@@ -3,7 +3,8 @@
 Benchmark items are cut into overlapping segments. A part of a document within ``k`` edits of a
 segment of ``m`` characters shares at least ``m - q + 1 - k * q`` of its q-grams, all on diagonals
 that lie at most ``k`` apart. So shared q-grams are counted in overlapping bands of diagonals,
-bands below that count are dropped, and the rest are aligned within the band.
+bands below that count are dropped, and the rest are aligned within the band. Items too short for
+that are looked for as whole words without edits.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from rivalry.llm import words as W
 
 #: Characters of benchmark text that one broadcast holds; more text takes more passes.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 
 #: Characters that a task looks at together.
 CHUNK_CHARS = 1_000_000
@@ -33,18 +34,19 @@ class Bounds:
     """What counts as the same text.
 
     Segments have ``length`` characters, one starts at every ``step``; an item shorter than
-    ``length`` is one segment, one shorter than ``shortest`` is no evidence and left out. One
-    edit is allowed for every ``per_edit`` characters.
+    ``length`` is one segment, one shorter than ``shortest`` has to be there as it is, in whole
+    words. One edit is allowed for every ``per_edit`` characters. With steps of no more than the
+    edits of a segment, an excerpt of ``length`` characters is found wherever it starts.
     """
 
-    length: int = 80
-    step: int = 20
+    length: int = 50
+    step: int = 3
     shortest: int = 40
     per_edit: int = 16
     q: int = 12
 
     def __post_init__(self) -> None:
-        if self.needed(self.shortest) < 1 or self.needed(self.length) < 1:
+        if any(self.needed(n) < 1 for n in range(self.shortest, self.length + 1)):
             raise ValueError("the lemma needs one shared q-gram at least; take a smaller q")
 
     def edits(self, length: int) -> int:
@@ -67,6 +69,11 @@ def segments(item: str, bounds: Bounds) -> list[str]:
     return [item[a : a + bounds.length] for a in (*range(0, last, bounds.step), last)]
 
 
+def evidence(item: str, bounds: Bounds) -> set[str]:
+    """What is looked for of a plain item: its segments, or all of it if it is short."""
+    return set(segments(item, bounds)) or ({item} if item else set())
+
+
 def _codes(text: str) -> np.ndarray:
     return W.mix(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64))
 
@@ -122,6 +129,37 @@ class Index:
         return sorted(set(out))
 
 
+class Phrases:
+    """Short items by the number of their words and the hash of these."""
+
+    def __init__(self, found: list[str]) -> None:
+        self.numbers = W.WordNumbers()
+        self.found: dict[int, dict[int, list[str]]] = {}
+        for item in found:
+            words = item.split(" ")
+            key = int(W.rolling(self._of(words), len(words))[0])
+            self.found.setdefault(len(words), {}).setdefault(key, []).append(item)
+        self.wanted = {n: np.array(sorted(keys), np.uint64) for n, keys in self.found.items()}
+
+    def _of(self, words: list[str]) -> np.ndarray:
+        return self.numbers.of([w.encode("utf-8", "surrogatepass") for w in words])
+
+    def search(self, text: str) -> Iterator[tuple[str, int]]:
+        """(item, end of its first place) of the items in a plain text, as whole words."""
+        if not self.found or not text:
+            return
+        words = text.split(" ")
+        numbers = self._of(words)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        for n, keys in self.found.items():
+            hashes = W.rolling(numbers, n)
+            some, first = np.unique(hashes, return_index=True)
+            for k in first[np.isin(some, self.wanted[n])].tolist():
+                item = " ".join(words[k : k + n])
+                if item in keys[int(hashes[k])]:
+                    yield item, int(ends[k + n - 1])
+
+
 def banded(segment: str, text: str, low: int, high: int, most: int) -> tuple[int, int] | None:
     """(edits, end) of the best alignment of ``segment`` to a part of ``text``, or None.
 
@@ -156,7 +194,7 @@ def banded(segment: str, text: str, low: int, high: int, most: int) -> tuple[int
     return (edits, len(segment) + low + row.index(edits)) if edits <= most else None
 
 
-def _search(index: Index) -> Callable:
+def _search(index: Index, phrases: Phrases) -> Callable:
     """doc_id, segment, edits and stop (in the plain text) of all matches, chunk by chunk."""
     bounds = index.bounds
 
@@ -185,6 +223,9 @@ def _search(index: Index) -> Callable:
                     best[key] = min(best.get(key, (edits, stop)), (edits, stop))
         for (doc, segment), (edits, stop) in best.items():
             yield ids[doc], index.segments[segment], edits, stop
+        for doc_id, text in zip(ids, texts, strict=True):
+            for item, stop in phrases.search(text):
+                yield doc_id, item, 0, stop
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,12 +256,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Texts are compared as
     :func:`plain` text. n_segments counts the item's distinct segments found within their edit
     budget, ``edits`` is their least edit distance, ``stops`` says where they end in the plain text.
+    An item too short for segments counts as one, found without edits, as whole words.
 
     The benchmark is the query set: its distinct texts are read in blocks of about
     ``BLOCK_CHARS`` characters, each of which is sent to all tasks and compared with every whole
     document; documents are never shuffled. Equal segments of several items are searched once.
 
-    Null and short texts overlap with nothing. Rows of equal id, null ids too, count as one
+    Null texts and those without a letter or digit overlap with nothing; an item of one common word
+    overlaps with all documents that have it. Rows of equal id, null ids too, count as one
     document or item. An empty table on either side gives an empty result; other columns are
     left out.
     """
@@ -236,14 +279,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -
     found = spark.createDataFrame([], schema)
     for k in range(n_blocks):
         rows = distinct.where(block == k).collect()
-        pieces = sorted({s for r in rows for s in segments(plain(r.text), bounds)})
-        found = found.unionByName(texts.mapInArrow(_search(Index(pieces, bounds)), schema))
+        pieces = sorted({s for r in rows for s in evidence(plain(r.text), bounds)})
+        index = Index([s for s in pieces if len(s) >= bounds.shortest], bounds)
+        phrases = Phrases([s for s in pieces if len(s) < bounds.shortest])
+        found = found.unionByName(texts.mapInArrow(_search(index, phrases), schema))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, pieces = [], []
             for item_id, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
-                own = set(segments(plain(text), bounds))
+                own = evidence(plain(text), bounds)
                 ids += [item_id] * len(own)
                 pieces += own
             yield pa.RecordBatch.from_arrays(

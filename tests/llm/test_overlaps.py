@@ -63,6 +63,42 @@ def test_matches_whole_table_alignment(documents, spark, case):
     assert got == want and len(want) > 10
 
 
+def test_excerpts_at_any_start_and_short_items(documents, spark):
+    pick = random.Random(8)
+    word = lambda: "".join(pick.choices("abcdefgh", k=pick.randint(2, 7)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    items = [(k, text(45)) for k in range(8)]
+    items += [(20, "xylo"), (21, "xy zeta ypsilon"), (22, "seven words that are not quite forty ch"), (23, " -- ")]
+    docs = []
+    for k in range(160):
+        item = items[k % 8][1]
+        start, n = pick.randrange(len(item) - 95), pick.choice([50, 51, 52, 60, 74, 80, 93])
+        docs.append((k, f"{text(20)} {item[start : start + n]} {text(20)}"))
+    docs += [(200 + k, f"{text(3)} {item.upper()}! {text(3)}") for k, (_, item) in enumerate(items[8:11])]
+    docs += [(210, "xylophone, xy zeta ypsilons"), (211, "seven words that are not quite forty chs")]
+    docs += [(212, "xylo"), (213, text(60))]
+
+    def shared(item, doc):
+        item, doc = d.plain(item), d.plain(doc)
+        if len(item) < 40:
+            return bool(item) and f" {item} " in f" {doc} "
+        return any(item[a : a + 50] in doc for a in range(len(item) - 49))
+
+    want = {(i, j) for i, t in docs for j, item in items if shared(item, t)}
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in d.overlaps(documents(docs), benchmark).collect()}
+    assert set(found) >= want and len(want) > 140
+    assert {(200, 20), (201, 21), (202, 22), (212, 20)} <= want
+    # whatever else is found lies within the edits of 50 characters
+    for i, j in set(found) - want:
+        item, doc = d.plain(dict(items)[j]), d.plain(dict(docs)[i])
+        assert len(item) > 40 and any(distance(item[a : a + 50], doc) <= 3 for a in range(len(item) - 49))
+    assert found[212, 20].stops == [4] and found[212, 20].edits == 0 and found[212, 20].n_segments == 1
+    assert all(d.plain(dict(docs)[i])[: found[i, j].stops[0]].endswith(item) for i, j, item in [
+        (200, 20, items[8][1]), (201, 21, items[9][1]), (202, 22, items[10][1])
+    ])
+
+
 def test_blocks_give_the_same(documents, spark, case, monkeypatch):
     docs, items = case
     benchmark = spark.createDataFrame(items, "item_id long, text string")
