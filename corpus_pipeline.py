@@ -24,7 +24,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminate_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

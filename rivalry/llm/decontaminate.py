@@ -312,10 +312,27 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -
 def decontaminate(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """The rows of ``docs``, with all their columns, that overlap with no benchmark item.
 
-    A null id can't be told from another one: if a text without id overlaps, all such rows go.
+    By id, for tables whose ids are unique: a null id can't be told from another one, so if a text
+    without id overlaps, all such rows go. :func:`decontaminate_rows` judges each text by itself.
     """
     found = overlaps(docs, benchmark, bounds).select(F.col("doc_id").alias("found_id")).distinct()
     rows = docs.select(F.struct("*").alias("row"))
     return rows.join(found, F.col("row.doc_id").eqNullSafe(F.col("found_id")), "left_anti").select(
         "row.*"
     )
+
+
+def decontaminate_rows(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text overlaps with no benchmark item.
+
+    Null and repeated ids are no matter: a row goes only for its own text. Rows are told apart by
+    two hashes of id and text, so that copies of a text spread over the tasks.
+    """
+    tagged = docs.select(
+        F.struct("*").alias("row"),
+        F.xxhash64(F.lit(1), "doc_id", "text").alias("_id"),
+        F.xxhash64(F.lit(2), "text", "doc_id").alias("_tie"),
+    )
+    named = tagged.select(F.struct("_id", "_tie").alias("doc_id"), "row.text")
+    found = overlaps(named, benchmark, bounds).select("doc_id._id", "doc_id._tie").distinct()
+    return tagged.join(found, ["_id", "_tie"], "left_anti").select("row.*")

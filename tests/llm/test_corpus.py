@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from rivalry.llm import queries
+from tests.llm.conftest import ODD
 from tools.check_queries import TABLES, normal
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +54,15 @@ def test_stages_take_effect(spark, db):
     result = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in result} == {r.doc_id for r in docs.collect()}
     assert all(r.exact and r.n_ids == len(r.ids) for r in result)
+
+
+def test_unleaked_rows_stay_whatever_their_ids(documents, spark, tmp_path):
+    item = "a passage of the benchmark that is long enough to be found"
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [*ODD, (8, f"before. {item.upper()}!! after"), (8, "clean"), (None, f"and {item}"), (None, item)]
+    docs = documents(rows)
+    kept = corpus_pipeline.keep_unleaked(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    want = [*ODD, (8, "clean")]
+    assert sorted(map(str, kept.collect())) == sorted(map(str, documents(want).collect()))
