@@ -18,8 +18,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document of least id."""
-    return similar.one_of_each(docs)
+    """Of each class of near-duplicate texts the document of least id."""
+    return similar.one_per_class(docs)
 
 
 def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -286,7 +286,8 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
 def one_of_each(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """``docs``, with all their columns, without all but the document of least id of each class.
 
-    Rows that repeat the id that stays are taken once.
+    Rows that repeat the id that stays are taken once, whatever their texts; this is for tables
+    whose ids are unique. :func:`one_per_class` keeps texts that share an id apart.
     """
     stay = near_duplicates(docs, forest).where("_id = class_id").select("_id").distinct()
     return (
@@ -295,3 +296,34 @@ def one_of_each(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
         .dropDuplicates(["_id"])
         .select("row.*")
     )
+
+
+def one_per_class(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
+    """``docs``, with all their columns, one row of each class of near-duplicate texts.
+
+    It is the row of least id, for null ids see :func:`near_duplicates`; of several texts of that
+    id the one of least hash. Rows are told apart by a 64-bit hash of id and text, so rows that
+    share an id but not the text are judged each by itself; equal rows are one.
+    """
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.expr(UNNAMED.format(id="doc_id")).alias("named"),
+        F.xxhash64(F.lit(1), "doc_id", "text").alias("doc_id"),
+        "text",
+    )
+    classes = near_duplicates(rows.select("doc_id", "text"), forest).select("_id", "class_id").distinct()
+    first = F.min(F.struct("named", "_id")).alias("first")
+    stay = (
+        rows.select("named", F.col("doc_id").alias("_id"))
+        .distinct()
+        .join(classes, "_id")
+        .groupBy("class_id")
+        .agg(first)
+        .select("first._id")
+    )
+    return (
+        rows.select("row", F.col("doc_id").alias("_id"))
+        .join(stay, "_id")
+        .dropDuplicates(["_id"])
+        .select("row.*")
+    )

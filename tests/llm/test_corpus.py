@@ -66,3 +66,19 @@ def test_unleaked_rows_stay_whatever_their_ids(documents, spark, tmp_path):
     assert kept.columns == docs.columns
     want = [*ODD, (8, "clean")]
     assert sorted(map(str, kept.collect())) == sorted(map(str, documents(want).collect()))
+
+
+def test_texts_that_share_an_id_are_judged_apart(documents, spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [
+        *ODD, (9, "one"), (5, long), (7, f"{long} more"), (7, "only here"), (7, "only here"), (7, "and this"),
+        (None, f"{long} again"), (6, "two of one text"), (3, "two of one text"),
+    ]
+    docs = documents(rows)
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [
+        (1, None), (2, ""), (3, " \n\t "), (4, "one"), (4, "another text of the same id"),
+        (None, "no id here"), (None, None), (5, long), (7, "only here"), (7, "and this"), (3, "two of one text"),
+    ]
+    assert sorted(map(str, kept.collect())) == sorted(map(str, documents(want).collect()))
