@@ -22,23 +22,34 @@ from pyspark.sql import DataFrame
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby "
-    "s samp small span strike strong sub sup time tt u var wbr img br".split()
+    "s samp small span strike strong sub sup time tt u var wbr img br "
+    "math semantics mrow mi mn mo ms mtext mspace msub msup msubsup munder mover munderover mfrac "
+    "msqrt mroot mstyle mpadded mphantom menclose mtable mtr mtd mmultiscripts annotation "
+    "annotation-xml".split()
 )
 UNSEEN = set(
-    "script style head title template noscript iframe object svg math canvas audio video select "
-    "option textarea button datalist dialog".split()
+    "script style head title template noscript iframe object svg canvas audio video select "
+    "option textarea button datalist dialog annotation annotation-xml".split()
 )
 RAW = "script style title textarea noscript template iframe svg".split()
+#: What a head may hold; anything else ends it, as its end tag may be left out.
+HEAD = set("title meta link base script style noscript template".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Regions that hold no article text, whatever they contain.
 OUTSIDE = set("nav footer aside".split())
+OUTSIDE_ROLES = set("navigation contentinfo complementary banner search dialog alertdialog".split())
 CONTENT_ELEMENTS = set("article main".split())
-OUTSIDE_WORDS = set(
+#: Names of boxes that are no part of an article even inside one.
+BOX_WORDS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie "
-    "cookies consent gdpr notice notices alert nav navigation navbar menu breadcrumb breadcrumbs "
-    "sidebar aside widget footer comment comments reply replies discussion disqus respond share "
-    "sharing social related recommended recommendations newsletter subscribe signup login popup "
-    "modal overlay pagination pager toolbar skip copyright legal disclaimer masthead banner "
-    "navigation contentinfo complementary search dialog".split()
+    "cookies consent gdpr nav navigation navbar menu breadcrumb breadcrumbs sidebar aside widget "
+    "footer comment comments reply replies disqus respond newsletter subscribe signup login popup "
+    "modal overlay pagination pager toolbar masthead contentinfo".split()
+)
+#: Names of boxes that a section of an article may bear as well.
+DOUBTFUL_WORDS = set(
+    "notice notices alert discussion share sharing social related recommended recommendations skip "
+    "copyright legal disclaimer banner complementary search dialog".split()
 )
 CONTENT_WORDS = set("article content post entry story main body articlebody text".split())
 #: Starting one of these ends an open one of the listed elements, up to the listed border.
@@ -71,6 +82,7 @@ class Block:
     element: str
     in_link: int  # characters inside links
     region: int  # 1 in an article, -1 in a region outside it, else 0
+    named: int = 0  # 2 in a box named as one outside articles, 1 in one of doubtful name, else 0
 
 
 @dataclass(frozen=True)
@@ -84,6 +96,7 @@ class Weights:
     links: float = -4.0
     article: float = 6.0
     outside: float = -14.0
+    named: float = -5.0
     paragraph: float = 1.0
     heading: float = 0.5
     item: float = -0.3
@@ -92,9 +105,11 @@ class Weights:
     cousins: float = 0.2
 
 
-def _region(name: str, attributes: str, inherited: int, fixed: bool) -> tuple[int, bool, bool]:
-    """(region, whether it holds for all elements inside, whether unseen) of an element."""
-    words, unseen = set(), name in UNSEEN
+def _region(
+    name: str, attributes: str, inherited: int, named: int, fixed: bool
+) -> tuple[int, int, bool, bool]:
+    """(region, named, whether both hold for all elements inside, whether unseen) of an element."""
+    words, unseen, outside = set(), name in UNSEEN, name in OUTSIDE
     if attributes and name not in ("html", "body"):
         for key, value in MARKING.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
@@ -102,25 +117,37 @@ def _region(name: str, attributes: str, inherited: int, fixed: bool) -> tuple[in
                 unseen = True
             elif key == "style":
                 unseen |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            elif key == "role" and value.lower() in OUTSIDE_ROLES:
+                outside = True
             else:
                 words.update(p.lower() for p in PART.findall(value))
     if fixed:
-        return inherited, True, unseen
-    bad, good = bool(words & OUTSIDE_WORDS), bool(words & CONTENT_WORDS)
-    if name in OUTSIDE or (bad and (not good or name in CONTENT_ELEMENTS)):
-        return -1, True, unseen
-    if name in CONTENT_ELEMENTS or (good and not bad):
-        return 1, False, unseen
+        return inherited, named, True, unseen
+    if outside:
+        return -1, named, True, unseen
+    if name in HEADINGS:
+        # ids of headings are made from their text
+        return inherited, named, False, unseen
+    good = bool(words & CONTENT_WORDS)
+    box, doubtful = bool(words & BOX_WORDS), bool(words & DOUBTFUL_WORDS)
+    region = inherited
     if name in ("form", "fieldset") or (name == "header" and inherited < 1):
-        return -1, False, unseen
-    return inherited, False, unseen
+        region = -1
+    if box and (not good or name in CONTENT_ELEMENTS):
+        return min(region, 0), 2, False, unseen
+    if doubtful and not good:
+        # in an article only links speak against it
+        named = max(named, 1 if inherited == 1 or name in CONTENT_ELEMENTS else 2)
+    if named < 2 and (name in CONTENT_ELEMENTS or (good and not box and not doubtful)):
+        region = 1
+    return region, named, False, unseen
 
 
 def blocks(html: str) -> list[Block]:
     """The blocks of a page that hold text, in page order; unclosed elements are tolerated."""
     out: list[Block] = []
-    # an open element: name, number, region, fixed, unseen
-    stack: list[tuple[str, int, int, bool, bool]] = [("", 0, 0, False, False)]
+    # an open element: name, number, region, named, fixed, unseen
+    stack: list[tuple[str, int, int, int, bool, bool]] = [("", 0, 0, 0, False, False)]
     parts: list[str] = []
     linked: list[str] = []
     links = number = 0
@@ -132,12 +159,14 @@ def blocks(html: str) -> list[Block]:
                 path = tuple(e[1] for e in stack if e[0] not in INLINE)
                 inner = next(e for e in reversed(stack) if e[0] not in INLINE)
                 in_link = len(" ".join(unescape("".join(linked)).split()))
-                out.append(Block(text, path, inner[0], in_link, inner[2]))
+                out.append(Block(text, path, inner[0], in_link, inner[2], inner[3]))
             parts.clear()
             linked.clear()
 
     def add(text: str) -> None:
-        if text and not stack[-1][4]:
+        if stack[-1][0] == "head" and text.strip():
+            close(len(stack) - 1)
+        if text and not stack[-1][5]:
             parts.append(text)
             if links:
                 linked.append(text)
@@ -168,6 +197,8 @@ def blocks(html: str) -> list[Block]:
                     flush()
             continue
         attributes = token[3] if token[2] else token[6]
+        if stack[-1][0] == "head" and name not in HEAD:
+            close(len(stack) - 1)
         if name == "br":
             add(" ")
             continue
@@ -189,8 +220,8 @@ def blocks(html: str) -> list[Block]:
             continue
         number += 1
         top = stack[-1]
-        region, fixed, unseen = _region(name, attributes or "", top[2], top[3])
-        stack.append((name, number, region, fixed, unseen or top[4]))
+        region, named, fixed, unseen = _region(name, attributes or "", *top[2:5])
+        stack.append((name, number, region, named, fixed, unseen or top[5]))
         links += name == "a"
     add(html[last:])
     flush()
@@ -200,7 +231,8 @@ def blocks(html: str) -> list[Block]:
 def score(block: Block, weights: Weights) -> float:
     """Log odds that the block is content."""
     z = weights.base + weights.word * min(block.text.count(" ") + 1, weights.most_words)
-    z += weights.links * min(1.0, block.in_link / len(block.text))
+    links = min(1.0, block.in_link / len(block.text))
+    z += weights.links * links + weights.named * (0.0, links, 1.0)[block.named]
     if block.text[-1] in ".!?…。:;\"'”»)":
         z += weights.sentence
     if block.element in ("p", "blockquote", "pre"):

@@ -29,6 +29,31 @@ def test_page_without_article_elements():
     assert pages.main_text(html) == f"{text}\n{text}"
 
 
+def test_names_do_not_outweigh_an_article():
+    words = "A paragraph with enough words to be read as a part of what the page has to say."
+    names = "social-impact legal-status copyright search related-work notice".split()
+    inside = "".join(f'<h2 id="{n}">{n}</h2><section id="{n}"><p>{words}</p></section>' for n in names)
+    want = "\n".join(f"{n}\n{words}" for n in names)
+    discussion = f'<section id="discussion"><h2 id="discussion">Talk</h2><p>{words}</p><p>Short.</p></section>'
+    html = f"<article><h1>Title</h1>{inside}{discussion}</article>"
+    assert pages.main_text(html) == f"Title\n{want}\nTalk\n{words}\nShort."
+    # outside an article the classifier weighs the name against the text
+    long = " ".join([words] * 4)
+    html = f'<div><p>{long}</p><div id="notice"><p>{long}</p></div><p>{long}</p></div>'
+    assert pages.main_text(html).count("\n") == 2
+    links = '<ul class="related"><li><a href="/a">One more page</a><li><a href="/b">And another one</a></ul>'
+    assert pages.main_text(f"<article><h1>Title</h1><p>{words}</p>{links}</article>") == f"Title\n{words}"
+
+
+def test_head_without_end_and_formulas():
+    words = "A paragraph with enough words to be read as a part of what the page has to say."
+    head = "<html><head><title>No text</title><meta charset=utf-8><style>p{}</style><link href=x>"
+    for page in (f"{head}<body><p>{words}</body>", f"{head}<p>{words}", f"{head}{words}", f"{head}</head><p>{words}"):
+        assert pages.main_text(page) == words
+    formula = "<math><semantics><msup><mi>x</mi><mn>2</mn></msup><annotation>x^2</annotation></semantics></math>"
+    assert pages.main_text(f"<article><p>It is {formula} here.</p></article>") == "It is x2 here."
+
+
 def test_odd_pages():
     for html in (None, "", "   ", "<", "<p", "</p></p>", "<script>", "<!-- x", "<p title='>", "&bogus; &#xFFFFFFF;"):
         assert isinstance(pages.main_text(html), str)
