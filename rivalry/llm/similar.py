@@ -1,9 +1,9 @@
-"""Near-duplicate join on word shingles with a MinHash LSH forest.
+"""Near-duplicate join on word shingles with MinHash LSH in bands of fixed length.
 
-Every text has one signature of MinHash values per tree. The values in order are a path in that
-tree's trie, and texts that share the first values share a path. Shared prefixes are shortened from
-their full length until the chance that a pair at the threshold shares one in some tree reaches
-the target recall. Pairs that do are compared exactly, by their sets of shingles.
+Every text has one signature of MinHash values per band ("tree"), and texts that agree in all values
+of a band share a path. All bands have the same length: the longest with which the chance that a pair
+at the threshold shares a path in some band reaches the target recall. Pairs that do are compared
+exactly, by their sets of shingles.
 
 Texts of equal sets are one node. Nodes are compared in blocks: a block holds some nodes of one
 neighbourhood, and two blocks meet if a trie node has members in both. A task gets one pair of
@@ -35,7 +35,7 @@ COLUMNS = 8_192
 
 @dataclass(frozen=True)
 class Forest:
-    """``trees`` tries of paths of up to ``longest`` values, for Jaccard similarity ``threshold``."""
+    """``trees`` bands of up to ``longest`` values each, for Jaccard similarity ``threshold``."""
 
     width: int = 5
     threshold: float = 0.8
@@ -48,7 +48,7 @@ class Forest:
         return 1 - (1 - self.threshold**depth) ** self.trees
 
     def depth(self) -> int:
-        """The longest prefix that reaches the target recall."""
+        """The length of all bands: the longest that reaches the target recall."""
         for depth in range(self.longest, 0, -1):
             if self.expected_recall(depth) >= self.recall:
                 return depth
