@@ -160,16 +160,21 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """kind, canonical, surrogate: distinct entities get distinct surrogates, none a real value.
 
     Of entities whose surrogates meet, the least keeps its own; the others, and those that got a
-    value that the corpus has, try again with the next attempt, until none is left.
+    value that the corpus has, try again with the next attempt, until none is left. Names are
+    compared with the corpus in lower case and whatever their gender.
     """
+    is_name = F.col("kind") == "name"
+    bare = F.when(is_name, F.expr("substr(canonical, 3)")).otherwise(F.col("canonical"))
+    shown = F.when(is_name, F.lower("surrogate")).otherwise(F.col("surrogate"))
     real = stored(entities.select("kind", "canonical").distinct())
     table = stored(_surrogates(real.withColumn("attempt", F.lit(0)), key))
     while True:
         owner = table.groupBy("kind", "surrogate").agg(F.min("canonical").alias("owner"))
-        taken = real.select("kind", F.col("canonical").alias("surrogate"), F.lit(True).alias("taken"))
+        taken = real.select("kind", bare.alias("shown"), F.lit(True).alias("taken")).distinct()
         judged = stored(
             table.join(owner, ["kind", "surrogate"])
-            .join(taken, ["kind", "surrogate"], "left")
+            .withColumn("shown", shown)
+            .join(taken, ["kind", "shown"], "left")
             .withColumn("again", F.col("taken").isNotNull() | (F.col("owner") != F.col("canonical")))
             .select("kind", "canonical", "attempt", "surrogate", "again")
         )

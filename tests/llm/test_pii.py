@@ -76,6 +76,17 @@ def test_collisions_try_again(spark):
     assert len(set(made)) == len(rows) and not set(made) & {c for _, c in rows}
 
 
+def test_no_surrogate_is_a_real_name(spark):
+    schema = "kind string, canonical string"
+    rows = [("name", "f:anna lee"), ("name", "m:otto lang"), ("name", "x:kim roe")]
+    first = {r.surrogate.lower() for r in pii.assign(spark.createDataFrame(rows, schema), "k").collect()}
+    assert len(first) == 3
+    rows += [("name", f"{g}:{name}") for name in first for g in "fx"]
+    got = pii.assign(spark.createDataFrame(rows, schema), "k").collect()
+    assert len(got) == len({r.surrogate for r in got}) == 9
+    assert not {r.surrogate.lower() for r in got} & {c[2:] for _, c in rows}
+
+
 def test_key_decides(documents):
     text = ["call +1 (678) 555-5272"]
     assert replaced(documents, text, "a") == replaced(documents, text, "a") != replaced(documents, text, "b")
