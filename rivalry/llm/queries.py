@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivalry.llm import chat, decontaminate, pages, pieces, pii, quality, repeats, rules, shards, similar
+from rivalry.llm import (
+    chat,
+    decontaminate,
+    pages,
+    pieces,
+    pii,
+    quality,
+    repeats,
+    rules,
+    shards,
+    similar,
+    topk,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -256,6 +268,30 @@ def op10_pieces(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFra
     return pieces.encode(documents, pieces.Vocabulary.load(model)).drop("text")
 
 
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: of every 50th vector the five best others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP12_SQL = """
+with rows as (
+    select row_number() over () as r, vec_id,
+        list_transform(embedding, lambda x: floor(256 * x::double)::double) as v
+    from embeddings
+    where embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.r, q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+    from rows q join rows c on q.vec_id % 50 = 0 and q.r <> c.r
+), ranked as (
+    select *, row_number() over (
+        partition by r order by score desc, vec_id asc nulls last) as rank
+    from scored
+)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
+"""
+
+
 QUERIES = {
     "op1_overlaps": op1_overlaps,
     "op2_chat": op2_chat,
@@ -267,6 +303,7 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_pages": op9_pages,
     "op10_pieces": op10_pieces,
+    "op12_topk": op12_topk,
 }
 
 ORACLE = {
@@ -275,4 +312,5 @@ ORACLE = {
     "op6_rules": OP6_SQL,
     "op8_repeats": OP8_SQL,
     "op9_pages": OP9_SQL,
+    "op12_topk": OP12_SQL,
 }
