@@ -17,6 +17,7 @@ from rivalry.llm import (
     shards,
     similar,
     topk,
+    variants,
 )
 
 
@@ -268,6 +269,60 @@ def op10_pieces(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFra
     return pieces.encode(documents, pieces.Vocabulary.load(model)).drop("text")
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
+#: crc32 by its table of 256 remainders, then near words by their texts without one code point.
+OP11_SQL = """
+with recursive remainders as (
+    select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+        case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as tab
+), runs as (
+    select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) as run
+        from documents)
+), counted as (
+    select coalesce(doc_id::varchar, '') || ':' || run as key, run, count(*) as n
+    from runs group by all
+), hashed as (
+    select run, n, xor(4294967295, list_reduce(
+        list_transform(range(octet_length(encode(key))),
+            lambda i: ('0x' || substr(hex(encode(key)), 2 * i + 1, 2))::bigint),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295)) as h
+    from counted, remainders
+), words as (
+    select word, sum(n)::bigint as n from (
+        select n, case when h % 31 <> 0 then run
+            else run[:h % length(run)] || run[h % length(run) + 2:] end as word
+        from hashed)
+    where length(word) >= 7 group by word having sum(n) >= 2
+), less as (
+    select word, i, word[:i] || word[i + 2:] as rest
+    from words, unnest(range(length(word))) t(i)
+), near as (
+    select a.word, b.word as other from less a join less b using (rest, i) where a.word <> b.word
+    union select l.word, w.word from less l join words w on l.rest = w.word
+    union select w.word, l.word from less l join words w on l.rest = w.word
+), best as (
+    select word, count(*) as n_near, min({'n': -n, 'word': other}) as b
+    from near join (select word as other, n from words) using (other) group by word
+), formed as (
+    select word, case when -b.n >= 10 * n then b.word end as form, n,
+        coalesce(n_near, 0) as n_near, case when -b.n >= 10 * n then -b.n end as form_n
+    from words left join best using (word)
+), chains as (
+    select word, word as root, 0 as step from formed
+    union all
+    select c.word, f.form, step + 1 from chains c join formed f on f.word = c.root
+    where f.form is not null
+)
+select word, form, (select arg_max(root, step) from chains c where c.word = f.word) as root,
+    n, n_near, form_n::bigint as form_n
+from formed f
+"""
+
+
 def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score: of every 50th vector the five best others."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
@@ -303,6 +358,7 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_pages": op9_pages,
     "op10_pieces": op10_pieces,
+    "op11_variants": op11_variants,
     "op12_topk": op12_topk,
 }
 
@@ -312,5 +368,6 @@ ORACLE = {
     "op6_rules": OP6_SQL,
     "op8_repeats": OP8_SQL,
     "op9_pages": OP9_SQL,
+    "op11_variants": OP11_SQL,
     "op12_topk": OP12_SQL,
 }
