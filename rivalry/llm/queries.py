@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivalry.llm import (
+    align,
     chat,
     decontaminate,
     pages,
@@ -347,6 +348,14 @@ select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
 """
 
 
+#: A public byte-level vocabulary.
+BYTES = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op13_align(spark: SparkSession, sf_dir: str, one: str = BYTES, two: str = MODEL) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"), align.Pair.load(one, two))
+
+
 QUERIES = {
     "op1_overlaps": op1_overlaps,
     "op2_chat": op2_chat,
@@ -360,6 +369,7 @@ QUERIES = {
     "op10_pieces": op10_pieces,
     "op11_variants": op11_variants,
     "op12_topk": op12_topk,
+    "op13_align": op13_align,
 }
 
 ORACLE = {
