@@ -11,16 +11,19 @@ best only:
 * *scores*: the path with the largest sum of scores.
 
 No piece has a space after another character, so every such border is a position that all paths
-share: the stretches between them are searched one by one, and those seen before looked up.
+share, where the window commits and is empty. What it commits from one such border to the next does
+not depend on what comes before, so a task remembers it, and takes it from there the next time.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
@@ -35,10 +38,13 @@ COMMIT = 64
 LITERAL = "\0" + SPACE
 
 #: Bytes of text that a task encodes together.
-PART = 4_000_000
+PART = 2_000_000
 
-#: Longest stretch that is remembered, and how many are in each half of the memory.
-REMEMBERED, CACHE = 64, 250_000
+#: Bytes of remembered stretches, about, in each half of the memory, and those that one may take.
+MEMORY, MOST = 40_000_000, 1_000
+
+#: Pairs of pieces whose order is remembered, as two sets of numbers.
+PAIRS = 250_000
 
 
 @dataclass
@@ -92,12 +98,17 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
+        self.lengths = {i: len(p) for i, p in vocabulary.texts.items()}
+        self.window = COMMIT + vocabulary.longest
         # stretches of late and of before; the older half goes when the younger is full
         self.known: dict[str, bytes] = {LITERAL: self._packed([-1 - ord(SPACE)])}
         self.older: dict[str, bytes] = {}
+        self.held = 0
         self.made: dict[int, tuple | None] = {}
-        self.agree: dict[int | None, dict[int, bool]] = {}
-        self.pairs = 0
+        # numbers of pairs of pieces that may follow each other, and of those that may not
+        self.size = max(vocabulary.pieces.values(), default=0) + 1
+        self.good: set[int] = set()
+        self.bad: set[int] = set()
 
     def _making(self, piece: int) -> tuple | None:
         """How merges make a piece: its last parts and its first parts over time, each with the
@@ -140,19 +151,22 @@ class Encoder:
                         rank = -scores[joined]
                         if rank < ends_left and rank <= ends_right:
                             found = False
-        self.pairs += 1
-        if self.pairs % (4 * CACHE) == 0:
-            for known in self.agree.values():
-                known.clear()
-        self.agree[one][two] = found
+        if len(self.good) + len(self.bad) >= PAIRS:
+            self.good.clear()
+            self.bad.clear()
+        (self.good if found else self.bad).add(self._pair(one, two))
         return found
 
+    def _pair(self, one: int | None, two: int) -> int:
+        """A number for two pieces; the start and all unknown characters count as one piece."""
+        return two if one is None or one < 0 else (one + 1) * self.size + two
+
     def _step(self, text: str, e: int, back: list, value: list) -> None:
         """Add the best piece that ends at ``e``, and the score of its path, to the lists.
 
         Unknown characters are -1 - code point; with scores they count as worse than any piece.
         """
-        endings, agree, scores = self.v.endings, self.agree, self.v.scores
+        endings, scores, merges = self.v.endings, self.v.scores, self.v.merges
         best, most = None, 0.0
         for s in range(e - 1, -1, -1):
             piece = endings.get(text[s:e])
@@ -161,14 +175,9 @@ class Encoder:
             if piece < 0:
                 continue
             before = back[s]
-            if self.v.merges:
-                follows = agree.get(before)
-                if follows is None:
-                    follows = agree[before] = {}
-                good = follows.get(piece)
-                if good is None:
-                    good = self._follows(before, piece)
-                if good:
+            if merges:
+                pair = piece if before is None or before < 0 else (before + 1) * self.size + piece
+                if pair in self.good or (pair not in self.bad and self._follows(before, piece)):
                     best = piece
                     break
             elif best is None or value[s] + scores[piece] > most:
@@ -180,65 +189,80 @@ class Encoder:
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """The pieces of a stretch, as lists that are final, with a window of bounded length."""
-        longest = self.v.longest
         back, value, base = [None], [0.0], 0
         for e in range(1, len(text) + 1):
             self._step(text[base:e], e - base, back, value)
-            if len(back) >= COMMIT + longest:
-                # a later piece starts at one of the last positions
-                front = set(range(len(back) - longest, len(back)))
-                while len(front) > 1:
-                    k = max(front)
-                    front.remove(k)
-                    front.add(k - self._length(back[k]))
-                meet = front.pop()
-                if meet > 0:
-                    yield self._path(back, meet)
-                    del back[:meet], value[:meet]
-                    base += meet
-        yield self._path(back, len(text) - base)
+            if len(back) >= self.window and (final := self._committed(back, value)):
+                yield final
+                base = e + 1 - len(back)
+        yield self._path(back, len(back) - 1)
+
+    def _committed(self, back: list, value: list) -> list[int]:
+        """The pieces that all paths share, taken out of the window; none if they share none."""
+        # a later piece starts at one of the last positions
+        front = set(range(len(back) - self.v.longest, len(back)))
+        while len(front) > 1:
+            k = max(front)
+            front.remove(k)
+            front.add(k - self.lengths.get(back[k], 1))
+        meet = front.pop()
+        path = self._path(back, meet)
+        del back[:meet], value[:meet]
+        return path
 
     def _search(self, stretches: list[str]) -> None:
-        """Remember the ids of stretches. In sorted order, each goes on where it leaves the one
-        before: the best pieces up to there are the same."""
+        """Stream new stretches and remember their ids. In sorted order, each goes on where it
+        leaves the one before, as long as the window has forgotten nothing of that."""
+        step, window = self._step, self.window
         back, value, last = [None], [0.0], ""
         for text in sorted(stretches):
-            same, most = 0, min(len(text), len(last))
-            while same < most and text[same] == last[same]:
-                same += 1
-            del back[same + 1 :], value[same + 1 :]
+            same, ids = 0, b""
+            if len(back) == len(last) + 1:
+                most = min(len(text), len(last))
+                while same < most and text[same] == last[same]:
+                    same += 1
+                del back[same + 1 :], value[same + 1 :]
+            else:
+                back, value = [None], [0.0]
+            base = 0
             for e in range(same + 1, len(text) + 1):
-                self._step(text, e, back, value)
+                step(text[base:e] if base else text, e - base, back, value)
+                if len(back) >= window:
+                    ids += self._packed(self._committed(back, value))
+                    base = e + 1 - len(back)
             last = text
-            self.known[text] = self._packed(self._path(back, len(text)))
-
-    def _length(self, piece: int) -> int:
-        return 1 if piece < 0 else len(self.v.texts[piece])
+            ids += self._packed(self._path(back, len(back) - 1))
+            self.known[text] = ids
+            self.held += 250 + 2 * len(text) + len(ids)
 
     def _path(self, back: list, end: int) -> list[int]:
-        path = []
+        path, lengths = [], self.lengths
         while end > 0:
-            path.append(back[end])
-            end -= self._length(path[-1])
-        return path[::-1]
+            piece = back[end]
+            path.append(piece)
+            end -= lengths.get(piece, 1)
+        path.reverse()
+        return path
 
     def _packed(self, path: list[int]) -> bytes:
         """Ids as 32-bit integers; unknown characters become bytes."""
-        ids: list[int] = []
-        for piece in path:
-            if piece >= 0:
-                ids.append(piece)
-            else:
-                ids += (self.v.bytes_[b] for b in chr(-1 - piece).encode())
-        return np.array(ids, np.int32).tobytes()
+        if path and min(path) < 0:
+            ids: list[int] = []
+            for piece in path:
+                if piece >= 0:
+                    ids.append(piece)
+                else:
+                    ids += (self.v.bytes_[b] for b in chr(-1 - piece).encode())
+            path = ids
+        return array("i", path).tobytes()
 
     def _prepare(self, stretches: set[str]) -> None:
         """Search the stretches not seen before, all together.
 
         All paths share the borders that no piece has inside, so what follows one is apart.
         """
-        if len(self.known) >= CACHE:
-            self.known, self.older = {}, self.known
+        if self.held >= MEMORY:
+            self.known, self.older, self.held = {}, self.known, 0
             self.known[LITERAL] = self.older[LITERAL]
         known, older, inner = self.known, self.older, self.v.inner
         new, ends = set(), {}
@@ -247,6 +271,7 @@ class Encoder:
                 continue
             if text in older:
                 known[text] = older[text]
+                self.held += 250 + 2 * len(text) + len(older[text])
                 continue
             core = text
             while len(core) > 1 and core[-2:] not in inner:
@@ -255,12 +280,10 @@ class Encoder:
             if core != text:
                 ends[text] = core
             new.add(core)
-        self._search([x for x in new if len(x) <= REMEMBERED and x not in known])
-        for x in new:
-            if len(x) > REMEMBERED:
-                known[x] = b"".join(self._packed(part) for part in self.stream(x))
+        self._search([x for x in new if x not in known])
         for text, core in ends.items():
             known[text] = b"".join([known[core], *map(known.__getitem__, text[len(core) :])])
+            self.held += 250 + 2 * len(text) + len(known[text])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Ids of texts. A space stands before each, as the models have it; a character of a text
@@ -273,8 +296,8 @@ class Encoder:
             None if parts is None else np.frombuffer(b"".join(map(find, parts)), np.int32)
             for parts in split
         ]
-        for text in [x for x in seen if len(x) > REMEMBERED]:
-            del self.known[text]
+        for text in [x for x in seen if len(x) > MOST]:
+            self.held -= 250 + 2 * len(text) + len(self.known.pop(text))
         return ids
 
     def _split(self, text: str) -> list[str]:
@@ -364,8 +387,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "text") -> Dat
 
 def _parts(batch: pa.RecordBatch, column: str, size: int = PART) -> Iterator[pa.RecordBatch]:
     """Rows with texts of about ``size`` bytes together, so that what is in work stays bounded."""
-    texts = batch.column(column).cast(pa.binary())
-    ends = np.cumsum([len(x) if (x := t.as_py()) else 0 for t in texts])
+    sizes = pc.binary_length(batch.column(column)).fill_null(0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
     first = 0
     while first < batch.num_rows:
         before = ends[first - 1] if first else 0

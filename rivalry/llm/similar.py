@@ -6,9 +6,14 @@ at the threshold shares a path in some band reaches the target recall. Pairs tha
 exactly, by their sets of shingles.
 
 Texts of equal sets are one node. Nodes are compared in blocks: a block holds some nodes of one
-neighbourhood, and two blocks meet if a trie node has members in both. A task gets one pair of
+neighbourhood, and two blocks meet if a band has members in both. A task gets one pair of
 blocks and returns, per node, how many texts it is linked to and one link towards its group, so
 the pairs of a large group are counted but never written.
+
+The blocks of a large neighbourhood are rings around a pivot, the set of shingles that most of a
+sample of it have. The Jaccard distance is a metric: with d the distance to the pivot, two nodes
+are linked for certain if d + d' is at most the distance allowed, and not linked if d and d' differ
+by more. Pairs of rings of which either holds are not compared; the linked ones are counted by ring.
 """
 
 from __future__ import annotations
@@ -19,15 +24,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivalry.llm import words as W
 from rivalry.llm.links import components
 from rivalry.session import stored
 
-#: Nodes in a block, on average.
-BLOCK = 128
+#: Nodes and shingles in a block, on average.
+BLOCK, SHINGLES = 512, 200_000
+
+#: Rings as wide as the distance allowed, and nodes whose shingles are counted for a pivot.
+RINGS, SAMPLE = 10, 32
 
 #: Columns of a block's 0/1 matrix at a time.
 COLUMNS = 8_192
@@ -87,7 +95,7 @@ def _sign(forest: Forest) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = W.WordNumbers()
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column("_id").to_pylist(), W.texts(batch), strict=True):
                 found = shingles(numbers.of(W.split(text)), forest.width)
                 if not len(found):
@@ -97,11 +105,15 @@ def _sign(forest: Forest) -> Callable:
                 out[1].append(int.from_bytes(digest[:8], "big", signed=True))
                 out[2].append(int.from_bytes(digest[8:], "big", signed=True))
                 out[3].append(paths(found, multipliers, forest.trees))
+                out[4].append(len(found))
             flat = np.concatenate(out[3]) if out[3] else np.empty(0, np.int64)
             offsets = np.arange(len(out[0]) + 1, dtype=np.int32) * forest.trees
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             columns = [pa.array(c, pa.int64()) for c in out[:3]]
-            yield pa.RecordBatch.from_arrays([*columns, lists], names=["_id", "h1", "h2", "paths"])
+            sizes = pa.array(out[4], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*columns, lists, sizes], names=["_id", "h1", "h2", "paths", "size"]
+            )
 
     return run
 
@@ -201,6 +213,88 @@ def _compare(forest: Forest) -> Callable:
     return run
 
 
+def _pivot(forest: Forest) -> Callable:
+    def run(sample: pa.Table) -> pa.Table:
+        """The shingles that more than half of a sample of texts have."""
+        numbers = W.WordNumbers()
+        sets = [shingles(numbers.of(W.split(t)), forest.width) for t in W.texts(sample)]
+        found, counts = np.unique(np.concatenate(sets), return_counts=True)
+        pivot = found[2 * counts > len(sets)].view(np.int64)
+        return pa.table(
+            {"hub": sample.column("hub").slice(0, 1), "pivot": pa.array([pivot], pa.list_(pa.int64()))}
+        )
+
+    return run
+
+
+def _ring(forest: Forest) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """node, hub, ring: how many ring widths a text lies from the pivot of its hub."""
+        numbers = W.WordNumbers()
+        for batch in batches:
+            rings = []
+            for text, pivot in zip(W.texts(batch), batch.column("pivot"), strict=True):
+                found = shingles(numbers.of(W.split(text)), forest.width)
+                pivot = pivot.values.to_numpy().view(np.uint64)
+                shared = len(np.intersect1d(found, pivot, assume_unique=True))
+                distance = 1 - shared / (len(found) + len(pivot) - shared)
+                rings.append(int(distance * RINGS / (1 - forest.threshold)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("hub"), pa.array(rings, pa.int32())],
+                names=["node", "hub", "ring"],
+            )
+
+    return run
+
+
+def _rings(homes: DataFrame, texts: DataFrame, forest: Forest) -> DataFrame:
+    """node, hub, n, size, ring of the nodes of ``homes``; -1 without a pivot or with several texts.
+
+    Only neighbourhoods of more than one block have a pivot. Any set may be one: the sample
+    decides how many pairs are certain, not what is found.
+    """
+    large = homes.groupBy("hub").agg(F.count(F.lit(1)).alias("nodes"), F.sum("size").alias("sizes"))
+    large = large.where((F.col("nodes") > BLOCK) | (F.col("sizes") > SHINGLES)).select("hub")
+    members = stored(homes.join(large, "hub").select("node", "hub"))
+    first = Window.partitionBy("hub").orderBy(F.xxhash64("node"))
+    sample = members.withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE).drop("k")
+    pivots = (
+        sample.join(texts, "node")
+        .groupBy("hub")
+        .applyInArrow(_pivot(forest), "hub long, pivot array<long>")
+    )
+    found = (
+        members.join(texts, "node")
+        .join(pivots, "hub")
+        .select("node", "hub", "text", "pivot")
+        .mapInArrow(_ring(forest), "node long, hub long, ring int")
+        .groupBy("node", "hub")
+        .agg(F.min("ring").alias("ring"), F.max("ring").alias("most"))
+        .select("node", "hub", F.when(F.col("ring") == F.col("most"), F.col("ring")).alias("ring"))
+    )
+    return homes.join(found, ["node", "hub"], "left").withColumn("ring", F.coalesce("ring", F.lit(-1)))
+
+
+def _certain(rings: DataFrame) -> DataFrame:
+    """node, least, n: what the rings alone tell of links, in the form of the comparisons."""
+    tallied = (
+        rings.where(F.col("ring").between(0, RINGS - 2))
+        .groupBy("hub", "ring")
+        .agg(F.sum("n").alias("texts"), F.min("node").alias("least"))
+    )
+    # at most RINGS - 1 rows for each of a few large neighbourhoods and ring
+    inner = tallied.withColumnRenamed("ring", "inner").join(
+        tallied.select("hub", "ring"), "hub"
+    ).where(F.col("ring") + F.col("inner") + 2 <= RINGS)
+    inner = inner.groupBy("hub", "ring").agg(F.sum("texts").alias("texts"), F.min("least").alias("least"))
+    own = F.when(2 * F.col("ring") + 2 <= RINGS, F.col("n")).otherwise(0)
+    return (
+        rings.join(inner, ["hub", "ring"])
+        .select("node", "least", (F.col("texts") - own).alias("n"))
+        .where("n > 0")
+    )
+
+
 #: Ids that stand for a missing one are taken from the top of the range, by hash of the text.
 UNNAMED = "coalesce(cast({id} as long), 9223372036854775807 - pmod(xxhash64(text), 4503599627370496))"
 
@@ -220,32 +314,46 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     a far smaller one; nothing else drops a pair.
     """
     rows = docs.select(F.expr(UNNAMED.format(id="doc_id")).alias("_id"), "text")
-    signed = stored(rows.mapInArrow(_sign(forest), "_id long, h1 long, h2 long, paths array<long>"))
+    signed = stored(
+        rows.mapInArrow(_sign(forest), "_id long, h1 long, h2 long, paths array<long>, size long")
+    )
     sets = signed.groupBy("h1", "h2").agg(F.min("_id").alias("node"), F.count(F.lit(1)).alias("n"))
     members = stored(signed.select("_id", "h1", "h2").join(sets, ["h1", "h2"]))
     nodes = stored(
         sets.withColumnRenamed("node", "_id")
         .join(signed.dropDuplicates(["_id", "h1", "h2"]), ["_id", "h1", "h2"])
-        .select(F.col("_id").alias("node"), "n", "h1", "h2", "paths")
+        .select(F.col("_id").alias("node"), "n", "h1", "h2", "paths", "size")
     )
-    # trie nodes with more than one member
+    # bands with more than one member
     steps = nodes.select("node", F.explode("paths").alias("path"))
     shared = (
         steps.groupBy("path").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
     )
     near = stored(steps.join(shared.select("path", "hub"), "path"))
     homes = near.groupBy("node").agg(F.min("hub").alias("hub"))
-    parts = homes.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    sizes = nodes.groupBy("node").agg(F.max("n").alias("n"), F.sum("size").alias("size"))
+    own_texts = rows.withColumnRenamed("_id", "node")
+    rings = stored(_rings(stored(homes.join(sizes, "node")), own_texts, forest))
+    parts = rings.groupBy("hub", "ring").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / SHINGLES)).alias("parts")
+    )
     blocks = stored(
-        homes.join(parts, "hub").select(
-            "node", F.xxhash64("hub", F.pmod(F.xxhash64("node"), "parts")).alias("block")
+        rings.join(parts, ["hub", "ring"]).select(
+            "node",
+            "hub",
+            "ring",
+            F.xxhash64("hub", "ring", F.pmod(F.xxhash64("node"), "parts")).alias("block"),
         )
     )
-    meet = near.select("path", "node").join(blocks, "node").select("path", "block").distinct()
+    meet = near.select("path", "node").join(blocks, "node").select("path", "block", "hub", "ring").distinct()
+    apart = F.abs(F.col("ring") - F.col("ring2")) > RINGS + 1
+    linked = F.col("ring") + F.col("ring2") + 2 <= RINGS
+    certain = (F.col("hub") == F.col("hub2")) & (F.least("ring", "ring2") >= 0) & (apart | linked)
     pairs = stored(
         meet.withColumnRenamed("block", "one")
-        .join(meet.withColumnRenamed("block", "two"), "path")
+        .join(meet.toDF("path", "two", "hub2", "ring2"), "path")
         .where("one <= two")
+        .where(~certain)
         .select("one", "two")
         .distinct()
     )
@@ -253,7 +361,7 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
         pairs.where("one < two").select("one", "two", F.lit(1), F.col("two"))
     )
     # a text of the node's own set; rows of one id may have several
-    texts = rows.withColumnRenamed("_id", "node").join(
+    texts = own_texts.join(
         nodes.join(blocks, "node").select("node", "n", "block", "paths"), "node"
     )
     work = (
@@ -262,7 +370,8 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
         .repartition("one", "two")
         .sortWithinPartitions("one", "two")
     )
-    found = stored(work.mapInArrow(_compare(forest), "node long, least long, n long"))
+    compared = work.mapInArrow(_compare(forest), "node long, least long, n long")
+    found = stored(compared.union(_certain(rings)))
     counts = found.groupBy("node").agg(F.sum("n").alias("linked"))
     classes = components(found.select(F.col("node").alias("a"), F.col("least").alias("b")))
     named = (
@@ -283,21 +392,6 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
-    """``docs``, with all their columns, without all but the document of least id of each class.
-
-    Rows that repeat the id that stays are taken once, whatever their texts; this is for tables
-    whose ids are unique. :func:`one_per_class` keeps texts that share an id apart.
-    """
-    stay = near_duplicates(docs, forest).where("_id = class_id").select("_id").distinct()
-    return (
-        docs.select(F.struct("*").alias("row"), F.expr(UNNAMED.format(id="doc_id")).alias("_id"))
-        .join(stay, "_id")
-        .dropDuplicates(["_id"])
-        .select("row.*")
-    )
-
-
 def one_per_class(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """``docs``, with all their columns, one row of each class of near-duplicate texts.
 

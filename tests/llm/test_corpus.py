@@ -22,7 +22,7 @@ def db():
 
 def test_one_query_for_each_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
 
 

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import pytest
+
 from rivalry.llm import similar
 from rivalry.llm.links import components
 from tests.llm.conftest import ODD
@@ -44,17 +46,22 @@ def variants(seed, n, group):
             for _ in range(pick.randint(0, 3)):
                 copy[pick.randrange(len(copy))] = pick.choice(words)
             rows.append(" ".join(copy))
+    # from one to twelve changes, so that pairs lie on both sides of the threshold
     base = pick.choices(words, k=200)
     for k in range(group):
         copy = list(base)
-        copy[pick.randrange(200)] = f"v{k}"
+        for _ in range(1 + k % 12):
+            copy[pick.randrange(200)] = f"v{k}"
         rows.append(" ".join(copy))
     pick.shuffle(rows)
     return list(enumerate(rows))
 
 
-def test_matches_all_pairs(documents):
-    # the large group takes several blocks
+@pytest.mark.parametrize("block, shingles", [(512, 200_000), (40, 200_000), (512, 3_000)])
+def test_matches_all_pairs(documents, monkeypatch, block, shingles):
+    # the large group takes several blocks, in rings around a pivot
+    monkeypatch.setattr(similar, "BLOCK", block)
+    monkeypatch.setattr(similar, "SHINGLES", shingles)
     rows = variants(3, 150, 300)
     got = {r._id: (r.class_id, r.n_links) for r in similar.near_duplicates(documents(rows)).collect()}
     assert got == brute(rows)
@@ -71,10 +78,6 @@ def test_odd_rows(documents):
     assert len(got) == len(ODD)
     assert {(r._id, r.class_id, r.n_links) for r in got if r._id in (1, 2, 3)} == {(k, k, 0) for k in (1, 2, 3)}
     assert similar.near_duplicates(documents([])).count() == 0
-    kept = similar.one_of_each(documents([*ODD, (9, "one")]))
-    assert kept.columns == documents([]).columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4]
-    assert {r._id for r in kept.collect()} == {"mine"}
 
 
 def test_recall_sets_the_depth():
