@@ -25,7 +25,7 @@ from rivalry.operators.skew import (
     with_keys,
     without_keys,
 )
-from rivalry.session import stored
+from rivalry.session import laid_out, stored
 
 CHUNK = "__chunk"
 ROW = "__row"
@@ -70,6 +70,29 @@ def find_busy(df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -
     return Busy(None if hot_rows is None else hot_keys(df, keys, hot_rows))
 
 
+def lay_out(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    hot_rows: int | None = HOT_ROWS,
+    busy: Busy | None = None,
+) -> tuple[DataFrame, Busy]:
+    """``df`` stored once for all steps of a history, and its hot keys.
+
+    The table has buckets of ``keys``: no later window, grouping or scan by them shuffles its rows
+    again. The count of the keys reads one column of the stored buckets, so ``df`` itself
+    is evaluated once, hot keys or not. A table with hot keys is returned as plain files, as a
+    bucket is read by one task. ``busy`` is what an earlier table of the same history had: with it
+    ``df`` reads that table, has at most as many rows per key, and needs neither exchange nor count.
+    """
+    if busy is not None and busy.keys is not None:
+        return stored(df), busy
+    table, plain = laid_out(df, keys, order, clustered=busy is not None)
+    if busy is None:
+        busy = find_busy(table, keys, hot_rows)
+    return (table if busy.keys is None else plain), busy
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -83,14 +106,16 @@ def running(
 
     ``bound`` is a table that is cheaper to count and has at least as many rows per key.
     ``busy`` is what an earlier count of such a table found, for several scans of one history.
+    If there are hot keys, ``df`` is stored before it is divided, so that it is evaluated once.
     """
     if busy is None:
         busy = find_busy(df if bound is None else bound, keys, hot_rows)
     hot = busy.keys
     if hot is None:
         return _by_window(df, keys, order, scan)
+    df = stored(df)
     cold = _by_window(without_keys(df, hot, keys), keys, order, scan)
-    return cold.unionByName(_by_chunks(df, hot, keys, order, scan, hot_rows))
+    return cold.unionByName(_by_chunks(df, hot, keys, order, scan, hot_rows or HOT_ROWS))
 
 
 def _streak_sum(name: str) -> str:
@@ -309,6 +334,7 @@ def fill_within(
     columns: list[str],
     backward: bool = True,
     hot_rows: int | None = HOT_ROWS,
+    busy: Busy | None = None,
 ) -> DataFrame:
     """Nulls take the latest earlier value of the same key, then the first later one.
 
@@ -319,7 +345,7 @@ def fill_within(
         last={f"__fill_{c}": F.col(c) for c in columns},
         first={f"__lead_{c}": F.col(c) for c in columns} if backward else {},
     )
-    filled = running(df, keys, order, scan, hot_rows)
+    filled = running(df, keys, order, scan, hot_rows, busy=busy)
     value = {
         c: F.coalesce(
             F.col(f"__fill_{c}"), *([F.col(f"__lead_{c}")] if backward else [])
@@ -348,7 +374,7 @@ def latest_per_group(
         return ranked(df)
     busy = with_keys(df, hot, keys)
     top = busy.groupBy(HOT_ID).agg(F.max(time).alias("__top"))
-    kept = busy.join(F.broadcast(top), HOT_ID).where(F.col(time) == F.col("__top"))
+    kept = busy.join(top, HOT_ID).where(F.col(time) == F.col("__top"))
     return ranked(without_keys(df, hot, keys)).unionByName(kept.select(*df.columns))
 
 

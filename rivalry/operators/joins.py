@@ -6,13 +6,15 @@ Sides are never broadcast by hint: Spark broadcasts a side whose size it has mea
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivalry.functions.text import quoted
 from rivalry.operators.encode import require_all
-from rivalry.operators.history import Scan, running
-from rivalry.operators.skew import HOT_ID, HOT_ROWS, hot_keys, with_keys, without_keys
+from rivalry.operators.history import Busy, Scan, find_busy, running
+from rivalry.operators.skew import HOT_ROWS, hot_keys, spread_join
 
 
 def rename_side(df: DataFrame, old: str, new: str) -> DataFrame:
@@ -69,41 +71,64 @@ def pair_contestants(
     entity: str,
     side: tuple[str, str],
     shared: list[str],
-    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Every row next to the other contestant's row of the same contest.
 
     The other row's columns, but for ``shared`` and the contest, are added with ``side[0]``
-    replaced by ``side[1]`` in their names. A contest of two thus gives two mirrored rows,
-    found by looking one row ahead or back: one shuffle and no join. Contests that
-    list more than two rows hold copies; only those take the equi-join, which pairs each row
-    with all rows of another entity. ``bound`` is a table that is cheaper to count and has at
-    least as many rows per contest.
+    replaced by ``side[1]`` in their names. A contest of two thus gives two mirrored rows.
+    Copies are one row with a weight, and each pair is repeated by the product of its weights at
+    the end. Each of two different rows finds the other one row ahead or back; in a contest
+    with more, each row takes the list of those of another entity.
+
+    All steps are windows by contest: one shuffle and one sort, no count beforehand and no join.
+    A contest of two entities with a and b copies has 2ab rows in the result, one of k different
+    rows up to k(k - 1); the task that holds it has the k rows in memory, not the pairs.
     """
     old, new = side
     own = [c for c in df.columns if c not in shared and c != contest]
     renamed = {c: c.replace(old, new) for c in own}
-    other = F.struct(*[F.col(c).alias(renamed[c]) for c in own])
-
-    def by_neighbour(rows: DataFrame) -> DataFrame:
-        spec = Window.partitionBy(contest).orderBy(F.col(entity).asc_nulls_last())
-        seen = F.coalesce(F.lead(other).over(spec), F.lag(other).over(spec))
-        paired = rows.withColumn("__other", seen)
-        return paired.select(*df.columns, "__other.*").where(
-            F.col(entity) != F.col(renamed[entity])
-        )
-
-    df = df.where(F.col(contest).isNotNull())
-    counted = df if bound is None else bound.where(F.col(contest).isNotNull())
-    many = hot_keys(counted, [contest], limit=2)
-    if many is None:
-        return by_neighbour(df)
-    # Any number of contests may hold copies, so this list is joined without a hint.
-    repeated = with_keys(df, many, [contest], bounded=False)
-    copies = repeated.select(HOT_ID, *[F.col(c).alias(renamed[c]) for c in own])
-    joined = repeated.join(copies, HOT_ID).where(F.col(entity) != F.col(renamed[entity]))
-    rest = by_neighbour(without_keys(df, many, [contest], bounded=False))
-    return rest.unionByName(joined.drop(HOT_ID))
+    other = F.struct(F.col("__weight"), *[F.col(c).alias(renamed[c]) for c in own])
+    content = [F.xxhash64(*df.columns).alias("__one"), F.hash(*df.columns).alias("__two")]
+    row = [entity, "__one", "__two"]
+    whole = Window.partitionBy(contest)
+    by_order = whole.orderBy(*row)
+    # the first window is by contest alone, so that its exchange and sort serve the others
+    before = [F.lag(c).over(by_order).eqNullSafe(F.col(c)) for c in row]
+    copy = reduce(Column.__and__, before) & (F.row_number().over(by_order) > 1)
+    rows = (
+        df.where(F.col(contest).isNotNull())
+        .select("*", *content)
+        .withColumn("__copy", copy)
+        .withColumn("__weight", F.count(F.lit(1)).over(Window.partitionBy(contest, *row)))
+        .where(~F.col("__copy"))
+        .withColumn("__different", F.count(F.lit(1)).over(whole))
+    )
+    # a list for contests of more than two different rows only
+    listed = F.collect_list(F.when(F.col("__different") > 2, other)).over(whole)
+    next_ = F.coalesce(F.lead(other).over(by_order), F.lag(other).over(by_order))
+    others = F.when(F.col("__different") > 2, listed).otherwise(F.array(next_))
+    paired = rows.select(*df.columns, "__weight", others.alias("__others")).select(
+        *df.columns, F.col("__weight").alias("__mine"), F.inline("__others")
+    )
+    times = (F.col("__mine") * F.col("__weight")).cast("int")
+    met = paired.where(F.col(entity) != F.col(renamed[entity]))
+    return met.select("*", F.explode(F.sequence(F.lit(1), times)).alias("__copy")).select(
+        *df.columns, *renamed.values()
+    )
+
+
+def previous_own_time(df: DataFrame, by: str, time: str, out: str) -> DataFrame:
+    """``df`` with the latest earlier time of each row's entity in the same table, null if none.
+
+    Two windows by entity, and no exchange if ``df`` reads a table laid out by it. Rows without
+    an entity or a time are dropped. It is for tables without hot keys.
+    """
+    rows = df.where(F.col(time).isNotNull() & F.col(by).isNotNull())
+    ordered = Window.partitionBy(by).orderBy(time)
+    earlier = rows.withColumn("__lag", F.lag(time).over(ordered))
+    # the first row of a time has the time before it; its lag may be the only one that differs
+    tied = F.min(F.when(F.col("__lag") < F.col(time), F.col("__lag")))
+    return earlier.withColumn(out, tied.over(Window.partitionBy(by, time))).drop("__lag")
 
 
 def previous_time(
@@ -152,14 +177,16 @@ def asof_join(
     """Each left row with the right rows of its entity at the latest strictly earlier time.
 
     All rows tied at that time are kept; left rows without an earlier row are dropped. The
-    right table's time column is called ``right_time`` and stays in the result.
+    right table's time column is called ``right_time`` and stays in the result. The right rows of
+    an entity and time with more than ``hot_rows`` are dealt out to several tasks.
     """
     found = previous_time(left, right, by, time, "__before", None, right_time, hot_rows)
     found = found.where(F.col("__before").isNotNull())
-    return found.join(
-        right.withColumn("__before", F.col(right_time).cast(left.schema[time].dataType)),
-        [by, "__before"],
-    ).drop("__before")
+    kind = left.schema[time].dataType
+    dated = right.withColumn("__before", F.col(right_time).cast(kind))
+    ties = dated.select(by, "__before")
+    many = hot_keys(ties, [by, "__before"], hot_rows) if hot_rows is not None else None
+    return spread_join(found, dated, [by, "__before"], many, hot_rows).drop("__before")
 
 
 def two_sided_asof(
@@ -170,35 +197,54 @@ def two_sided_asof(
     time: str,
     side: tuple[str, str],
     hot_rows: int | None = HOT_ROWS,
+    own: bool = False,
+    busy: Busy | None = None,
 ) -> DataFrame:
     """Contests with the previous history rows of both contestants.
 
     ``history`` holds the entity, the time and its features; the opponent's copy has
     ``side[0]`` replaced by ``side[1]`` in its names. Rows with any null are dropped
     after the first lookup, and history rows with any null cannot be found by the second.
-    Both times are looked up on the narrow contest rows before the wide features are joined.
+    Both times are looked up on the narrow contest rows before the wide features are joined, and
+    both joins read one exchange of the features.
+
+    ``own`` says that the contests are the rows of ``history``, and ``busy`` what its hot keys
+    are: then the first time is found by windows of the history itself, without an exchange
+    if it is laid out by entity.
     """
     features = [c for c in history.columns if c not in (entity, time)]
     renamed = {c: c.replace(*side) for c in features}
     opposing = require_all(history)
 
-    keyed = previous_time(
-        contests, history, entity, time, "__own", hot_rows=hot_rows
-    ).where(F.col("__own").isNotNull())
+    if busy is None:
+        busy = find_busy(history, [entity], hot_rows)
+    if own and busy.keys is None:
+        keyed = previous_own_time(contests, entity, time, "__own")
+    else:
+        keyed = previous_time(contests, history, entity, time, "__own", hot_rows=hot_rows)
+    keyed = keyed.where(F.col("__own").isNotNull())
     # Hot opponents are counted before the first lookup and the null check: no less, and cheap.
     counted = contests.select(opponent).unionAll(history.select(F.col(entity).alias(opponent)))
     keyed = previous_time(
         keyed, opposing, opponent, time, "__opposing", entity, None, hot_rows, counted
     ).where(F.col("__opposing").isNotNull())
 
-    same_type = contests.schema[time].dataType
-    own_rows = history.select(entity, F.col(time).cast(same_type).alias("__own"), *features)
-    opposing_rows = opposing.select(
-        F.col(entity).alias(opponent),
-        F.col(time).cast(same_type).alias("__opposing"),
-        *[F.col(c).alias(renamed[c]) for c in features],
-    )
-    own = require_all(keyed.join(own_rows, [entity, "__own"]))
-    return own.join(opposing_rows, [opponent, "__opposing"]).select(
-        *contests.columns, *features, *renamed.values()
+    # A history row with a null is found by the first lookup only to be dropped: the rows
+    # without one serve both sides.
+    kind = contests.schema[time].dataType
+    values = [f"__value{i}" for i in range(len(features))]
+    past = opposing.select(
+        F.col(entity).alias("__entity"),
+        F.col(time).cast(kind).alias("__time"),
+        *[F.col(c).alias(v) for c, v in zip(features, values, strict=True)],
     )
+    at_time = ["__entity", "__time"]
+    ties = history.select(F.col(entity).alias("__entity"), F.col(time).cast(kind).alias("__time"))
+    many = hot_keys(ties, at_time, hot_rows) if hot_rows is not None else None
+    rows, kept = require_all(keyed), list(contests.columns)
+    for key, at, names in ((entity, "__own", features), (opponent, "__opposing", renamed.values())):
+        probes = rows.withColumns({"__entity": F.col(key), "__time": F.col(at)})
+        joined = spread_join(probes, past, at_time, many, hot_rows).drop(*at_time)
+        kept += names
+        rows = joined.withColumnsRenamed(dict(zip(values, names, strict=True)))
+    return rows.select(*kept)

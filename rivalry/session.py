@@ -73,8 +73,39 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Names of the bucketed tables not dropped yet.
+_TABLES: list[str] = []
+
+
+def laid_out(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    clustered: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` written to the shared folder in buckets of ``keys``, each sorted by keys and order.
+
+    Windows, groupings and lookups by the keys that read the first table need no exchange. The
+    second is the same table as plain files, whose reads Spark splits whatever the buckets hold;
+    it is for tables with a key too large for a bucket. The one exchange by the keys is a rebalance,
+    so AQE splits a key with too many rows over several files; ``clustered`` says that ``df``
+    reads a table of this kind and needs none. Both stay until :func:`drop_stored`.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"laid_out_{uuid.uuid4().hex}"
+    rows = df if clustered else df.hint("rebalance", *keys)
+    writer = rows.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys, *order)
+    writer.option("path", path).saveAsTable(name)
+    _TABLES.append(name)
+    return spark.table(name), spark.read.schema(df.schema).parquet(path)
+
+
 def drop_stored(spark: SparkSession) -> None:
     """Delete all stored tables, once the results that read them are written or fetched."""
+    while _TABLES:
+        spark.sql(f"drop table if exists {_TABLES.pop()}")
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     while _FOLDERS:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())

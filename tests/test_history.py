@@ -8,9 +8,11 @@ from rivalry.operators.history import (
     Scan,
     fill_within,
     first_per_group,
+    lay_out,
     latest_per_group,
     running,
 )
+from rivalry.operators.joins import previous_own_time
 
 DAY = dt.date(2020, 1, 1)
 
@@ -163,3 +165,42 @@ def test_dates_are_filled_alike(spark):
     plain = running(df, ["key"], ["day", "id"], scan, hot_rows=None)
     hot = running(df, ["key"], ["day", "id"], scan, hot_rows=5)
     assert plain.schema == hot.schema and sorted(map(str, plain.collect())) == sorted(map(str, hot.collect()))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_laid_out_history_is_not_shuffled_again(spark):
+    df, _ = histories(spark, rows=200)
+    order = ["day", "id"]
+    table, busy = lay_out(df, ["key"], order)
+    assert busy.keys is None
+    scanned = running(table, ["key"], order, the_scan(), busy=busy)
+    filled = fill_within(scanned, ["key"], order, ["x"], busy=busy)
+    assert "Exchange" not in plan_of(filled) and "Bucketed: true" in plan_of(filled)
+    again, _ = lay_out(filled, ["key"], order, busy=busy)
+    assert "Exchange" not in plan_of(previous_own_time(again, "key", "day", "before"))
+    plain = fill_within(running(df, ["key"], order, the_scan(), None), ["key"], order, ["x"], hot_rows=None)
+    assert sorted(map(str, again.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hot_keys_read_what_comes_before_once(spark):
+    df, _ = histories(spark, rows=200)
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    counted = df.mapInArrow(passed, df.schema)
+    order = ["day", "id"]
+    table, busy = lay_out(counted, ["key"], order, 20)
+    assert busy.keys is not None and "Bucketed: true" not in plan_of(table)
+    got = running(table, ["key"], order, the_scan(), 20, busy=busy)
+    want = running(df, ["key"], order, the_scan(), None)
+    values = lambda t: {r["id"]: tuple(r)[2:] for r in t.collect()}
+    mine, theirs = values(got), values(want)
+    assert all(mine[i] == pytest.approx(theirs[i]) for i in theirs) and len(mine) == len(theirs)
+    assert read.value == 200

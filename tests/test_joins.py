@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rivalry.operators import joins as J
 from rivalry.operators.sample import complement
+from rivalry.operators.skew import hot_keys, spread_join
 
 DAY = dt.date(2020, 1, 1)
 
@@ -127,16 +128,6 @@ def test_two_sided_on_a_wide_table(spark):
     assert len(got) == 1 and got[0]["entity_x2"] == 74.0 and got[0]["opponent_x2"] == 76.0
 
 
-def test_pairs_counted_elsewhere(spark, rows):
-    """A bound that lists more rows per contest than there are changes nothing."""
-    df = contest_rows(spark)
-    sides = ("entity", "opponent")
-    plain = J.pair_contestants(df, "contest", "entity_id", sides, ["day"])
-    bound = J.pair_contestants(df, "contest", "entity_id", sides, ["day"], df.unionAll(df))
-    columns = ["contest", "entity_id", "opponent_id", "opponent_win"]
-    assert rows(plain, *columns) == rows(bound, *columns)
-
-
 def test_enrich(spark, rows):
     dim = spark.createDataFrame([(1, "x"), (9, "y")], "k int, name string")
     facts = spark.createDataFrame([(1, 10), (2, 20)], "k int, v int")
@@ -165,3 +156,54 @@ def test_natural_join_and_rename(spark, rows):
     assert rows(named, "fighter_name", "opponent_name") == [("one", "two")]
     with pytest.raises(ValueError):
         J.natural_join(left, names.toDF("x", "y"))
+
+
+def test_busy_ties_are_dealt_out(spark, rows):
+    """The right rows of one entity and time go to several tasks, and nothing is lost."""
+    history = spark.range(400).select(
+        F.when(F.col("id") < 300, "busy").otherwise(F.concat(F.lit("e"), F.col("id") % 7)).alias("entity_id"),
+        F.when(F.col("id") < 300, F.lit(day(1))).otherwise(F.lit(day(2))).alias("day"),
+        F.col("id").alias("x"),
+    )
+    left = spark.createDataFrame(
+        [(1, "busy", day(3)), (2, "busy", day(4)), (3, "e1", day(3)), (4, "busy", day(1)), (5, None, day(9))],
+        "k int, entity_id string, day date",
+    )
+    plain = J.asof_join(left, history.withColumnRenamed("day", "was"), "entity_id", "day", "was", None)
+    spread = J.asof_join(left, history.withColumnRenamed("day", "was"), "entity_id", "day", "was", 40)
+    assert spread.columns == plain.columns
+    assert rows(spread, "k", "x") == rows(plain, "k", "x") and spread.count() > 600
+
+    many = hot_keys(history, ["entity_id"], 40)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        right = history.select("entity_id", "x")
+        tasks = spread_join(left.select("k", "entity_id"), right, ["entity_id"], many, 40)
+        busy = tasks.where("entity_id = 'busy'").select(F.spark_partition_id()).distinct()
+        assert busy.count() > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_weights_of_copies(spark):
+    """Copies multiply, in both directions; three entities meet each other."""
+    data = [(1, "a", 1)] * 30 + [(1, "b", 2)] * 20 + [(2, e, 1) for e in "abc"] + [(2, "a", 2)]
+    df = spark.createDataFrame(data, "contest int, entity_id string, entity_x int")
+    got = J.pair_contestants(df, "contest", "entity_id", ("entity", "opponent"), [])
+    count = {(r[0], r[1], r[2]): r[3] for r in got.groupBy("contest", "entity_id", "opponent_id").count().collect()}
+    assert count == {
+        (1, "a", "b"): 600, (1, "b", "a"): 600,
+        (2, "a", "b"): 2, (2, "a", "c"): 2, (2, "b", "a"): 2, (2, "c", "a"): 2, (2, "b", "c"): 1, (2, "c", "b"): 1,
+    }
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
+def test_previous_own_time(spark, rows):
+    data = [("a", day(1)), ("a", day(1)), ("a", day(3)), ("a", day(3)), ("a", day(7)), ("b", day(2)), (None, day(1)), ("a", None)]
+    df = spark.createDataFrame(data, "entity_id string, day date")
+    own = J.previous_own_time(df, "entity_id", "day", "before")
+    looked_up = J.previous_time(df, df, "entity_id", "day", "before", hot_rows=None)
+    assert rows(own) == rows(looked_up, *own.columns)
