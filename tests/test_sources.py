@@ -1,4 +1,6 @@
+import csv
 import os
+import random
 
 import pytest
 
@@ -83,3 +85,36 @@ def test_csv_cells_may_hold_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,name\n1,"two\nlines"\n2,"a ""quote"""\n')
     got = [tuple(r) for r in files.read_raw(spark, str(tmp_path / "a.csv")).orderBy("id").collect()]
     assert got == [("1", "two\nlines"), ("2", 'a "quote"')]
+
+
+@pytest.mark.parametrize("size", [64, 301, 1 << 20])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_records_are_found_from_any_split(spark, rows, tmp_path, size, end):
+    """Splits of a few bytes begin inside cells, quotes and records; all agree with one task."""
+    pick = random.Random(size)
+    cells = ["", "plain", '"quo""ted"', '"a, b"', '"two\nlines"', '"""\n"""', '"\n\n\n"', '"x' + "\ny" * 60 + '"', "é" * 30]
+    for name in ("one", "two"):
+        lines = ['"id\n1",b,"c ""d"""'] + [
+            ",".join([str(k), pick.choice(cells), pick.choice(cells)]) for k in range(120)
+        ]
+        (tmp_path / f"{name}.csv").write_bytes((end.join(lines) + end * 2).encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = files.read_raw(spark, str(tmp_path))
+        lines = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+        assert got.columns == ["id\n1", "b", 'c "d"'] and (lines > 30 or size > 1000)
+        want = []
+        for name in ("one", "two"):
+            with open(tmp_path / f"{name}.csv", newline="") as handle:
+                read = list(csv.reader(handle))[1:]
+            want += [tuple(c or None for c in r) for r in read if r]
+        assert len(want) == 240
+        assert rows(got) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+        assert rows(files.read_raw(spark, str(tmp_path), list("abc"))) == rows(got)
+        if end == "\n":
+            one_task = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+            assert rows(one_task.csv(str(tmp_path)).toDF(*"abc")) == rows(got.toDF(*"abc"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
