@@ -73,8 +73,8 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Names of the bucketed tables not dropped yet.
-_TABLES: list[str] = []
+#: Names of the bucketed tables among them, by folder.
+_TABLES: dict[str, str] = {}
 
 
 def laid_out(
@@ -98,15 +98,24 @@ def laid_out(
     rows = df if clustered else df.hint("rebalance", *keys)
     writer = rows.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys, *order)
     writer.option("path", path).saveAsTable(name)
-    _TABLES.append(name)
+    _TABLES[path] = name
     return spark.table(name), spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(spark: SparkSession) -> None:
-    """Delete all stored tables, once the results that read them are written or fetched."""
-    while _TABLES:
-        spark.sql(f"drop table if exists {_TABLES.pop()}")
+def stored_so_far() -> int:
+    """How many tables are stored, as a mark for :func:`drop_stored`."""
+    return len(_FOLDERS)
+
+
+def drop_stored(spark: SparkSession, first: int = 0, last: int | None = None) -> None:
+    """Delete stored tables, once the results that read them are written or fetched.
+
+    All, or those from number ``first`` up to ``last``, in the order in which they were stored.
+    """
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    while _FOLDERS:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
-        path.getFileSystem(hadoop).delete(path, True)
+    for path in _FOLDERS[first:last]:
+        if path in _TABLES:
+            spark.sql(f"drop table if exists {_TABLES.pop(path)}")
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(hadoop).delete(place, True)
+    del _FOLDERS[first:last]
