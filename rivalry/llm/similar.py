@@ -330,7 +330,10 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
         steps.groupBy("path").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
     )
     near = stored(steps.join(shared.select("path", "hub"), "path"))
-    homes = near.groupBy("node").agg(F.min("hub").alias("hub"))
+    # the least neighbour's least neighbour: members of a dense group have one of few
+    least = stored(near.groupBy("node").agg(F.min("hub").alias("hub")))
+    further = least.select(F.col("node").alias("hub"), F.col("hub").alias("next"))
+    homes = least.join(further, "hub").select("node", F.col("next").alias("hub"))
     sizes = nodes.groupBy("node").agg(F.max("n").alias("n"), F.sum("size").alias("size"))
     own_texts = rows.withColumnRenamed("_id", "node")
     rings = stored(_rings(stored(homes.join(sizes, "node")), own_texts, forest))
