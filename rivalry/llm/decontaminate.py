@@ -35,7 +35,8 @@ class Bounds:
 
     Segments have ``length`` characters, one starts at every ``step``; an item shorter than
     ``length`` is one segment, one shorter than ``shortest`` has to be there as it is, in whole
-    words. One edit is allowed for every ``per_edit`` characters. With steps of no more than the
+    words, and is a reason to drop a document from ``telling`` words on: "the" or a name is reported,
+    but is no leak. One edit is allowed for every ``per_edit`` characters. With steps of no more than the
     edits of a segment, an excerpt of ``length`` characters is found wherever it starts.
     """
 
@@ -44,6 +45,7 @@ class Bounds:
     shortest: int = 40
     per_edit: int = 16
     q: int = 12
+    telling: int = 4
 
     def __post_init__(self) -> None:
         if any(self.needed(n) < 1 for n in range(self.shortest, self.length + 1)):
@@ -79,54 +81,78 @@ def _codes(text: str) -> np.ndarray:
 
 
 class Index:
-    """Postings of the q-grams of a block of distinct segments, as sorted arrays."""
-
-    def __init__(self, found: list[str], bounds: Bounds) -> None:
-        self.segments, self.bounds = found, bounds
-        grams = [W.rolling(_codes(s), bounds.q) for s in found]
-        hashes = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        segment = np.repeat(np.arange(len(found)), [len(g) for g in grams])
-        offset = np.concatenate([np.arange(len(g)) for g in grams]) if grams else segment
+    """Places of the q-grams of a block of plain items: one number for each character of them.
+
+    A q-gram of a segment is one of its item, and on the same diagonal but for the segment's start,
+    so the item's places serve all its segments.
+    """
+
+    def __init__(self, items: list[str], bounds: Bounds) -> None:
+        self.items, self.bounds = items, bounds
+        lengths = np.array([len(x) for x in items], np.int64)
+        self.starts = np.r_[0, np.cumsum(lengths + 1)].astype(np.int32)
+        hashes = W.rolling(_codes("\n".join(items)), bounds.q)
+        place = np.arange(len(hashes), dtype=np.int32)
+        # of q-grams inside one item
+        item = np.searchsorted(self.starts, place, "right") - 1
+        inside = place + bounds.q <= (self.starts[:-1] + lengths)[item] if len(items) else place < 0
+        hashes, place = hashes[inside], place[inside]
         order = np.argsort(hashes, kind="stable")
-        self.segment, self.offset = segment[order], offset[order]
+        self.place = place[order]
         runs = W.starts(hashes[order])
-        self.hashes, self.edges = hashes[order][runs], np.r_[runs, len(order)]
+        self.hashes, self.edges = hashes[order][runs], np.r_[runs, len(order)].astype(np.int32)
         # a table of bits by the hash's top ends most lookups at once
-        self.shift = np.uint64(64 - max(16, int(len(self.hashes) * 64).bit_length()))
+        self.shift = np.uint64(64 - max(16, int(len(self.hashes) * 8).bit_length()))
         self.seen = np.zeros(1 << (64 - int(self.shift)), bool)
         self.seen[self.hashes >> self.shift] = True
-        self.edits = np.array([bounds.edits(len(s)) for s in found], np.int64)
-        self.needed = np.array([bounds.needed(len(s)) for s in found], np.int64)
+        sizes = [min(len(x), bounds.length) for x in items]
+        self.size = np.array(sizes, np.int64)
+        self.edits = np.array([bounds.edits(n) for n in sizes], np.int64)
+        self.needed = np.array([bounds.needed(n) for n in sizes], np.int64)
 
-    def candidates(self, text: str) -> list[tuple[int, int, int]]:
-        """(segment, lowest, highest diagonal) of the bands with enough shared q-grams."""
+    def memory(self) -> int:
+        """Bytes of the arrays."""
+        return sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
+
+    def candidates(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        """(item, segment's start, lowest, highest diagonal) where enough q-grams are shared."""
         grams = W.rolling(_codes(text), self.bounds.q)
         at = np.flatnonzero(self.seen[grams >> self.shift])
         if not len(at) or not len(self.hashes):
-            return []
+            return
         gram = np.searchsorted(self.hashes, grams[at])
         same = self.hashes[np.minimum(gram, len(self.hashes) - 1)] == grams[at]
         at, gram = at[same], gram[same]
-        first, n = self.edges[gram], self.edges[gram + 1] - self.edges[gram]
-        posting = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-        segment, offset = self.segment[posting], self.offset[posting]
-        diagonal = np.repeat(at, n) - offset + self.bounds.length  # not below 0
+        first, n = self.edges[gram].astype(np.int64), np.diff(self.edges)[gram]
+        hit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        place = self.place[hit].astype(np.int64)
+        item = np.searchsorted(self.starts, place, "right") - 1
+        offset = place - self.starts[item]
+        diagonal = np.repeat(at, n) - offset + int(self.starts[-1])  # not below 0
         # bands of 2 (k + 1) diagonals overlap by half: any k + 1 in a row share one
-        half = self.edits[segment] + 1
-        out = []
+        half = self.edits[item] + 1
         for shift in (0, 1):
             band = (diagonal + shift * half) // (2 * half)
-            order = np.lexsort((offset, band, segment))
-            s, b, o = segment[order], band[order], offset[order]
-            new = np.r_[True, (s[1:] != s[:-1]) | (b[1:] != b[:-1])][: len(s)]
-            distinct = new | np.r_[True, o[1:] != o[:-1]][: len(s)]
-            runs = np.flatnonzero(new)
-            shared = np.add.reduceat(distinct.astype(np.int64), runs) if len(runs) else runs
-            enough = runs[shared >= self.needed[s[runs]]]
-            low = b[enough] * 2 * half[order][enough] - shift * half[order][enough]
-            low -= self.bounds.length
-            out += zip(s[enough].tolist(), low.tolist(), (low + 2 * half[order][enough] - 1).tolist())
-        return sorted(set(out))
+            order = np.lexsort((offset, band, item))
+            i, b, o = item[order], band[order], offset[order]
+            new = np.r_[True, (i[1:] != i[:-1]) | (b[1:] != b[:-1])][: len(i)]
+            distinct = new | np.r_[True, o[1:] != o[:-1]][: len(i)]
+            i, b, o, runs = i[distinct], b[distinct], o[distinct], np.flatnonzero(new[distinct])
+            shared = np.diff(np.r_[runs, len(i)])
+            for k in np.flatnonzero(shared >= self.needed[i[runs]]).tolist():
+                which, own = int(i[runs[k]]), o[runs[k] : runs[k] + shared[k]]
+                width = int(self.edits[which]) + 1
+                low = (2 * int(b[runs[k]]) - shift) * width - int(self.starts[-1])
+                for start in self._starts(which, own):
+                    yield which, start, low + start, low + start + 2 * width - 1
+
+    def _starts(self, item: int, offsets: np.ndarray) -> list[int]:
+        """Starts of an item's segments that hold enough of the sorted offsets of q-grams."""
+        last = len(self.items[item]) - int(self.size[item])
+        starts = np.unique(np.r_[np.arange(0, last, self.bounds.step), last])
+        reach = int(self.size[item]) - self.bounds.q
+        n = np.searchsorted(offsets, starts + reach, "right") - np.searchsorted(offsets, starts)
+        return starts[n >= self.needed[item]].tolist()
 
 
 class Phrases:
@@ -194,16 +220,22 @@ def banded(segment: str, text: str, low: int, high: int, most: int) -> tuple[int
     return (edits, len(segment) + low + row.index(edits)) if edits <= most else None
 
 
-def _search(index: Index, phrases: Phrases) -> Callable:
-    """doc_id, segment, edits and stop (in the plain text) of all matches, chunk by chunk."""
-    bounds = index.bounds
+def _search(items: list[str], bounds: Bounds) -> Callable:
+    """doc_id, segment, edits and stop (in the plain text) of all matches, chunk by chunk.
 
-    def matches(ids: list, texts: list[str]) -> Iterator[tuple]:
+    Tasks are sent the items alone and build the index of these.
+    """
+
+    def matches(index: Index, phrases: Phrases, ids: list, texts: list[str]) -> Iterator[tuple]:
         whole = "\n".join(texts)  # no plain text has a line break
         begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for segment, low, high in index.candidates(whole):
-            wanted, most = index.segments[segment], int(index.edits[segment])
+        best: dict[tuple[int, str], tuple[int, int]] = {}
+        seen = set()
+        for item, first, low, high in index.candidates(whole):
+            wanted, most = index.items[item][first : first + index.size[item]], int(index.edits[item])
+            if (wanted, low) in seen:
+                continue
+            seen.add((wanted, low))
             # the band's text, in one or two documents at the joint of two
             a, b = max(0, low - most), high + most + len(wanted)
             for doc in range(
@@ -219,15 +251,17 @@ def _search(index: Index, phrases: Phrases) -> Callable:
                     found = banded(wanted, part, low - start, high - start, most)
                 if found:
                     edits, stop = found[0], found[1] + start - int(begin[doc])
-                    key = (doc, segment)
+                    key = (doc, wanted)
                     best[key] = min(best.get(key, (edits, stop)), (edits, stop))
         for (doc, segment), (edits, stop) in best.items():
-            yield ids[doc], index.segments[segment], edits, stop
+            yield ids[doc], segment, edits, stop
         for doc_id, text in zip(ids, texts, strict=True):
             for item, stop in phrases.search(text):
                 yield doc_id, item, 0, stop
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index([x for x in items if len(x) >= bounds.shortest], bounds)
+        phrases = Phrases([x for x in items if 0 < len(x) < bounds.shortest])
         for batch in batches:
             ids, texts, size = [], [], 0
             out: list[tuple] = []
@@ -237,9 +271,9 @@ def _search(index: Index, phrases: Phrases) -> Callable:
                 texts.append(plain(text))
                 size += len(texts[-1])
                 if size >= CHUNK_CHARS:
-                    out += matches(ids, texts)
+                    out += matches(index, phrases, ids, texts)
                     ids, texts, size = [], [], 0
-            out += matches(ids, texts)
+            out += matches(index, phrases, ids, texts)
             columns = list(zip(*out)) if out else [[], [], [], []]
             kinds = (batch.schema.field("doc_id").type, pa.string(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -250,23 +284,8 @@ def _search(index: Index, phrases: Phrases) -> Callable:
     return run
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
-    """doc_id, item_id, n_segments, edits, stops: one row per document and item that overlap.
-
-    ``docs`` has doc_id and text, ``benchmark`` item_id and text. Texts are compared as
-    :func:`plain` text. n_segments counts the item's distinct segments found within their edit
-    budget, ``edits`` is their least edit distance, ``stops`` says where they end in the plain text.
-    An item too short for segments counts as one, found without edits, as whole words.
-
-    The benchmark is the query set: its distinct texts are read in blocks of about
-    ``BLOCK_CHARS`` characters, each of which is sent to all tasks and compared with every whole
-    document; documents are never shuffled. Equal segments of several items are searched once.
-
-    Null texts and those without a letter or digit overlap with nothing; an item of one common word
-    overlaps with all documents that have it. Rows of equal id, null ids too, count as one
-    document or item. An empty table on either side gives an empty result; other columns are
-    left out.
-    """
+def _matches(docs: DataFrame, benchmark: DataFrame, bounds: Bounds) -> DataFrame:
+    """doc_id, item_id, segment, edits, stop: a row per place where evidence of an item was found."""
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").where("text is not null")
     distinct = items.select("text").distinct()
@@ -279,10 +298,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -
     found = spark.createDataFrame([], schema)
     for k in range(n_blocks):
         rows = distinct.where(block == k).collect()
-        pieces = sorted({s for r in rows for s in evidence(plain(r.text), bounds)})
-        index = Index([s for s in pieces if len(s) >= bounds.shortest], bounds)
-        phrases = Phrases([s for s in pieces if len(s) < bounds.shortest])
-        found = found.unionByName(texts.mapInArrow(_search(index, phrases), schema))
+        wanted = sorted({plain(r.text) for r in rows})
+        found = found.unionByName(texts.mapInArrow(_search(wanted, bounds), schema))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,24 +315,53 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -
 
     item_type = items.schema["item_id"].dataType.simpleString()
     owners = items.mapInArrow(cut, f"item_id {item_type}, segment string")
+    return found.join(owners.distinct(), "segment")
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
+    """doc_id, item_id, n_segments, edits, stops: one row per document and item that overlap.
+
+    ``docs`` has doc_id and text, ``benchmark`` item_id and text. Texts are compared as
+    :func:`plain` text. n_segments counts the item's distinct segments found within their edit
+    budget, ``edits`` is their least edit distance, ``stops`` says where they end in the plain text;
+    it is empty for documents without an id, which may be many texts.
+    An item too short for segments counts as one, found without edits, as whole words.
+
+    The benchmark is the query set: its distinct texts are read in blocks of about
+    ``BLOCK_CHARS`` characters, each of which is sent to all tasks and compared with every whole
+    document; documents are never shuffled. A task makes the index of a block, of less than 40 bytes
+    a character.
+
+    Null texts and those without a letter or digit overlap with nothing; an item of one common word
+    overlaps with all documents that have it. Rows of equal id, null ids too, count as one
+    document or item. Very long texts are searched whole, with those around them. An empty table on
+    either side gives an empty result; other columns are left out.
+    """
     return (
-        found.join(owners.distinct(), "segment")
+        _matches(docs, benchmark, bounds)
         .groupBy("doc_id", "item_id")
         .agg(
             F.countDistinct("segment").alias("n_segments"),
             F.min("edits").alias("edits"),
-            F.sort_array(F.collect_set("stop")).alias("stops"),
+            F.sort_array(F.collect_set(F.when(F.col("doc_id").isNotNull(), F.col("stop")))).alias("stops"),
         )
     )
 
 
+def _leaked(docs: DataFrame, benchmark: DataFrame, bounds: Bounds) -> DataFrame:
+    """doc_id of the documents with evidence that lets them go, once each."""
+    words = F.size(F.split("segment", " "))
+    enough = (F.length("segment") >= bounds.shortest) | (words >= bounds.telling)
+    return _matches(docs, benchmark, bounds).where(enough).select("doc_id").distinct()
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """The rows of ``docs``, with all their columns, that overlap with no benchmark item.
 
-    By id, for tables whose ids are unique: a null id can't be told from another one, so if a text
+    Items of fewer than ``telling`` words let no document go, see :class:`Bounds`. By id, for tables whose ids are unique: a null id can't be told from another one, so if a text
     without id overlaps, all such rows go. :func:`decontaminate_rows` judges each text by itself.
     """
-    found = overlaps(docs, benchmark, bounds).select(F.col("doc_id").alias("found_id")).distinct()
+    found = _leaked(docs, benchmark, bounds).withColumnRenamed("doc_id", "found_id")
     rows = docs.select(F.struct("*").alias("row"))
     return rows.join(found, F.col("row.doc_id").eqNullSafe(F.col("found_id")), "left_anti").select(
         "row.*"
@@ -325,7 +371,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds
 def decontaminate_rows(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text overlaps with no benchmark item.
 
-    Null and repeated ids are no matter: a row goes only for its own text. Rows are told apart by
+    Items of fewer than ``telling`` words let no document go, see :class:`Bounds`. Null and repeated ids are no matter: a row goes only for its own text. Rows are told apart by
     two hashes of id and text, so that copies of a text spread over the tasks.
     """
     tagged = docs.select(
@@ -334,5 +380,5 @@ def decontaminate_rows(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = B
         F.xxhash64(F.lit(2), "text", "doc_id").alias("_tie"),
     )
     named = tagged.select(F.struct("_id", "_tie").alias("doc_id"), "row.text")
-    found = overlaps(named, benchmark, bounds).select("doc_id._id", "doc_id._tie").distinct()
+    found = _leaked(named, benchmark, bounds).select("doc_id._id", "doc_id._tie")
     return tagged.join(found, ["_id", "_tie"], "left_anti").select("row.*")

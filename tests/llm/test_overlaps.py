@@ -107,6 +107,34 @@ def test_blocks_give_the_same(documents, spark, case, monkeypatch):
     assert sorted(map(str, d.overlaps(documents(docs), benchmark).collect())) == sorted(map(str, whole))
 
 
+def test_short_items_empty_no_corpus(documents, spark):
+    benchmark = spark.createDataFrame([(1, "The"), (2, "is a name"), (3, "these are four words")], "item_id int, text string")
+    docs = documents([(1, "the first of the"), (2, "what is a name?"), (3, "and these are four words"), (4, "none")])
+    assert {(r.doc_id, r.item_id) for r in d.overlaps(docs, benchmark).collect()} == {(1, 1), (2, 2), (3, 3)}
+    assert sorted(r.doc_id for r in d.decontaminate_rows(docs, benchmark).collect()) == [1, 2, 4]
+    assert sorted(r.doc_id for r in d.decontaminate(docs, benchmark).collect()) == [1, 2, 4]
+
+
+def test_memory_of_a_block():
+    pick = random.Random(1)
+    items, size = [], 0
+    while size < d.BLOCK_CHARS:
+        items.append(" ".join("".join(pick.choices("abcdefghijklmnop", k=pick.randint(2, 9))) for _ in range(200)))
+        size += len(items[-1])
+    index = d.Index(items, d.Bounds())
+    assert index.memory() < 40 * size
+    text = f"{items[7][100:300]}\n{items[9][3:90]}"
+    assert {x[0] for x in index.candidates(text)} == {7, 9}
+
+
+def test_very_long_texts(documents, spark):
+    item = "a passage of the benchmark that is long enough to be found"
+    benchmark = spark.createDataFrame([(1, item)], "item_id int, text string")
+    docs = documents([(1, "word " * 400_000 + item + " word" * 400_000), (2, "x" * 2_000_000), (3, "word " * 400_000)])
+    found = d.overlaps(docs, benchmark).collect()
+    assert [(r.doc_id, r.edits, r.stops[-1]) for r in found] == [(1, 0, 2_000_000 + len(item))]
+
+
 def test_odd_rows(documents, spark):
     item = "a passage of the benchmark that is long enough to be found"
     benchmark = spark.createDataFrame(
