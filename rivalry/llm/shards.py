@@ -75,11 +75,13 @@ def write_shards(
 ) -> None:
     """Write each shard to a folder ``shard=<index>`` of parquet files below ``path``.
 
-    Rows are dealt by (shard, slot), so a large shard is written by many tasks.
+    Rows are dealt by (shard, slot), so a large shard is written by many tasks; a rebalance, so that
+    AQE splits a slot with too many rows, such as that of null keys or of one frequent key. Columns
+    named slot or shard are replaced, equal rows are all written, an empty table gives no files.
     """
     placed = place(df, key, shards, slots)
     (
-        placed.repartition("shard", "slot")
+        placed.hint("rebalance", "shard", "slot")
         .drop("slot")
         .write.option("maxRecordsPerFile", rows_per_file)
         .partitionBy("shard")
