@@ -51,3 +51,19 @@ def aggregate_columns(
 
 def as_double(column: Column) -> Column:
     return column.cast("double")
+
+
+#: Columns that a table may be widened to by names found in its data.
+WIDEST = 10_000
+
+
+def listed_names(names: DataFrame, most: int = WIDEST) -> list[str]:
+    """The sorted distinct names of a one-column table, as a closed list of column names.
+
+    The driver sees ``most`` + 1 names at most. More make no table to be read by columns: that is
+    refused, and the long form is to be used instead.
+    """
+    rows = names.distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} column names; use the long form")
+    return sorted(r[0] for r in rows)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivalry.queries import chain, extraction, joining, learning, shaping, summaries, windows
+from rivalry.queries import chain, extraction, job, joining, learning, shaping, summaries, windows
 
-MODULES = [windows, joining, chain, shaping, summaries, learning, extraction]
+MODULES = [windows, joining, chain, shaping, summaries, learning, extraction, job]
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

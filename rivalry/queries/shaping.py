@@ -35,7 +35,13 @@ from rivalry.operators.cleanse import (
     prefix_unless,
     require,
 )
-from rivalry.operators.encode import columns_of_type, numeric_frame, one_hot
+from rivalry.operators.encode import (
+    category_codes,
+    columns_of_type,
+    encode_category,
+    numeric_frame,
+    one_hot,
+)
 from rivalry.operators.joins import rename_side
 from rivalry.queries import views as V
 from rivalry.sources.files import union_records
@@ -281,7 +287,21 @@ def q_columns_by_type(spark, sf):
     )
 
 
+def q_category_codes(spark, sf):
+    """Every line's part as a number by how often the part is ordered, whatever the number of parts."""
+    lines = V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    codes = category_codes(lines, "l_partkey")
+    return encode_category(lines, "l_partkey", codes, "code").select("l_orderkey", "l_linenumber", "code")
+
+
+CODES = """
+with codes as (
+  select l_partkey, row_number() over (order by count(*) desc, l_partkey) - 1 code
+  from lineitem group by l_partkey)
+select l_orderkey, l_linenumber, code from lineitem join codes using (l_partkey)"""
+
 QUERIES = {
+    "q_category_codes": q_category_codes,
     "q_wide_to_long": q_wide_to_long,
     "q_location": q_location,
     "q_dates": q_dates,
@@ -311,6 +331,7 @@ QUERIES = {
 _PRIORITY = "case when o_orderstatus <> 'P' then o_orderpriority[1:1] end"
 
 ORACLE = {
+    "q_category_codes": CODES,
     "q_wide_to_long": f"with {V.SIDES} select * from sides",
     "q_location": """
 select c_custkey,

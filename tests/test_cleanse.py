@@ -1,8 +1,11 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from rivalry.operators import cleanse as C
 from rivalry.operators import encode as E
+from rivalry.operators.columns import listed_names
 
 
 def test_names(spark):
@@ -110,3 +113,24 @@ def test_fill_mean(spark, rows):
 
 def test_require_all(spark, rows):
     assert rows(E.require_all(gaps(spark), ["half"]), "id") == [(3,), (4,)]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 50])
+def test_codes_of_a_category_of_many_values(spark, hot_rows):
+    values = [f"v{k % 997}" for k in range(4000)] + ["v3"] * 5 + [None] * 7
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, kind string")
+    count = Counter(v for v in values if v)
+    want = sorted(count, key=lambda v: (-count[v], v))
+    codes = E.category_codes(df, "kind", hot_rows)
+    assert {r["value"]: (r["code"], r["n"]) for r in codes.collect()} == {v: (i, count[v]) for i, v in enumerate(want)}
+    coded = E.encode_category(df, "kind", codes, "code")
+    assert [r["code"] for r in coded.orderBy("id").collect()] == [want.index(v) if v else None for v in values]
+    for vector, code in E.one_hot_vectors(coded, "code", "hot", len(want)).select("hot", "code").collect():
+        assert vector.size == len(want) and vector.indices.tolist() == ([] if code is None else [code])
+
+
+def test_names_of_columns_are_bounded(spark):
+    names = spark.createDataFrame([("b",), ("a",), ("b",)], "name string")
+    assert listed_names(names, 2) == ["a", "b"]
+    with pytest.raises(ValueError, match="long form"):
+        listed_names(names, 1)
