@@ -1,9 +1,11 @@
 """Replacement of personal data by surrogates.
 
 An entity is a kind and a canonical value, so that mentions which differ in case or separators
-are the same entity. Each distinct entity of the corpus gets one surrogate, made from a keyed hash
-and of the same form; surrogates that meet each other or a real value are made anew. A mention is
-written in its own format. Everything is DataFrame expressions.
+are the same entity. A name is one person whatever the title, and a bare family name is the person
+of that name in its document, if there is one. Each distinct entity of the corpus gets one
+surrogate, made from a keyed hash and of the same form; surrogates that meet each other or a real
+value are made anew, in a wider form where the form has few values left. A mention is written in
+its own format. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ SYLLABLES = {
 ENDS = {"latin": "man berg dal ner ston rin", "cyrillic": "ко юк ич дзе ман ук"}
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя"}
 
+#: Attempts after which a surrogate grows by a digit each time, so that there are values left.
+WIDEN = 4
+
 _TITLE = "|".join(TITLES.values())
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
@@ -110,25 +115,45 @@ _CHECKSUM = """aggregate(sequence(1, length({of})), 0, (sum, i) ->
         d -> if(d > 9, d - 9, d))[0])"""
 
 
+#: The remainder of an IBAN by 97, its first four characters last and letters as numbers.
+_REMAINDER = """aggregate(sequence(1, length({of})), 0, (rest, i) ->
+    transform(array(substr(concat(substr({of}, 5), substr({of}, 1, 4)), i, 1)), c ->
+        if(c rlike '[0-9]', pmod(rest * 10 + cast(c as int), 97), pmod(rest * 100 + ascii(c) - 55, 97)))[0])"""
+
+#: Digits behind the form, as many as attempts beyond those that keep it.
+_MORE_DIGITS = f"""array_join(transform(filter(sequence(0, attempt), k -> k >= {WIDEN}),
+    k -> cast(pmod(xxhash64(seed, 'more', k), 10) as string)), '')"""
+
+
 def _name(gender: str, script: str) -> str:
     given = _pick(GIVEN[gender, script], "xxhash64(seed, 1)")
+    middle = _pick(GIVEN[gender, script], "xxhash64(seed, 'middle')")
     family = ", ".join(_pick(SYLLABLES[script], f"xxhash64(seed, {k})") for k in (2, 3, 4))
     # more attempts, longer names: there are always names left
     more = _pick(SYLLABLES[script], "xxhash64(seed, 5 + k)")
     family = f"concat({family}, array_join(transform(sequence(0, attempt), k -> {more}), ''), {_pick(ENDS[script], 'xxhash64(seed, 0)')})"
-    return f"concat({given}, ' ', initcap({family}))"
+    # as many names as the person has; of one only, the family name
+    words = "size(split(canonical, ' '))"
+    return (
+        f"concat_ws(' ', if({words} > 1, {given}, null), if({words} > 2, {middle}, null), initcap({family}))"
+    )
 
 
 def _surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``entities`` (kind, canonical, attempt) with the column surrogate, in canonical form.
 
-    Phone numbers keep their first digit, cards whether their check digit is right, IBANs their
-    country. Addresses move to a reserved domain, IP addresses keep four numbers.
+    Phone numbers keep their first digit, cards and IBANs whether their check digits are right,
+    IBANs their country. Addresses move to a reserved domain, IP addresses keep four numbers. From
+    attempt :data:`WIDEN` on, numbers grow by digits and IP addresses have numbers above 255, so
+    that a form of which the corpus has all values is left.
     """
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "canonical", F.col("attempt").cast("string")), 256)
     local = _SAME_FORM.format(of="substring_index(canonical, '@', 1)")
     form = _SAME_FORM.format(of="canonical")
-    octets = ", ".join(f"1 + pmod(xxhash64(seed, {k}), 254)" for k in range(4))
+    octets = ", ".join(
+        f"if(attempt < {WIDEN + k}, 1 + pmod(xxhash64(seed, {k}), 254), 256 + pmod(xxhash64(seed, {k}), 744))"
+        for k in range(4)
+    )
     hexes = "array_join(transform(sequence(1, length(canonical)), i -> substr('0123456789abcdef', cast(pmod(xxhash64(seed, i), 16) as int) + 1, 1)), '')"
     names = " ".join(
         f"when canonical like '{g}:%' and {_CYRILLIC if s == 'cyrillic' else 'true'} then {_name(g, s)}"
@@ -138,20 +163,29 @@ def _surrogates(entities: DataFrame, key: str) -> DataFrame:
     made = F.expr(
         f"""case kind
         when 'email' then concat({local}, '@mail', cast(pmod(xxhash64(seed, 'd'), 1000000) as string),
-            '.example.org')
+            {_MORE_DIGITS}, '.example.org')
         when 'secret' then {hexes}
-        when 'phone' then concat(substr(canonical, 1, 1), substr({form}, 2))
-        when 'iban' then concat(substr(canonical, 1, 2), substr({form}, 3))
+        when 'phone' then concat(substr(canonical, 1, 1), substr({form}, 2), {_MORE_DIGITS})
+        when 'iban' then concat(substr(canonical, 1, 2), substr({form}, 3), {_MORE_DIGITS})
         when 'ip' then concat_ws('.', {octets})
         when 'name' then case {names} end
-        else {form} end"""
+        else concat({form}, {_MORE_DIGITS}) end"""
     )
+    zeroed = "concat(substr(made, 1, 2), '00', substr(made, 5))"
+    check = f"lpad(cast(98 - {_REMAINDER.format(of=zeroed)} as string), 2, '0')"
+    right = F.expr(f"{_REMAINDER.format(of='canonical')} = 1")
+    iban = F.when(right, F.expr(f"concat(substr(made, 1, 2), {check}, substr(made, 5))"))
     shift = f"pmod(cast(substr(made, -1) as int) + {_CHECKSUM.format(of='canonical')} - {_CHECKSUM.format(of='made')}, 10)"
     card = F.expr(f"concat(substr(made, 1, length(made) - 1), cast({shift} as string))")
     return (
         entities.withColumn("seed", seed)
         .withColumn("made", made)
-        .withColumn("surrogate", F.when(F.col("kind") == "card", card).otherwise(F.col("made")))
+        .withColumn(
+            "surrogate",
+            F.when(F.col("kind") == "card", card)
+            .when(F.col("kind") == "iban", F.coalesce(iban, F.col("made")))
+            .otherwise(F.col("made")),
+        )
         .drop("seed", "made")
     )
 
@@ -160,8 +194,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """kind, canonical, surrogate: distinct entities get distinct surrogates, none a real value.
 
     Of entities whose surrogates meet, the least keeps its own; the others, and those that got a
-    value that the corpus has, try again with the next attempt, until none is left. Names are
-    compared with the corpus in lower case and whatever their gender.
+    value that the corpus has, try again with the next attempt, until none is left. That ends: the
+    forms of late attempts grow, so the share of values in use falls. Names are compared with the
+    corpus in lower case and whatever their gender.
     """
     is_name = F.col("kind") == "name"
     bare = F.when(is_name, F.expr("substr(canonical, 3)")).otherwise(F.col("canonical"))
@@ -184,16 +219,59 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         table = stored(judged.where("not again").drop("again").unionByName(_surrogates(again, key)))
 
 
+def resolve(typed: DataFrame) -> DataFrame:
+    """``typed`` mentions (_id, _tie, kind, canonical, ...) with one canonical value per person.
+
+    A name whose title leaves the gender open is that of the one gender the corpus has for it. A
+    family name alone is the person of that family name in its document, if there is just one whose
+    gender fits; otherwise it is a person of its own, the same in all documents. A document's
+    different full names are held as a list.
+    """
+    names = typed.where("kind = 'name'").withColumn("bare", F.expr("substr(canonical, 3)"))
+    sign, several = F.substring("canonical", 1, 1), F.contains("bare", F.lit(" "))
+    whole, alone = names.where(several), names.where(~several).withColumn("family", F.col("bare"))
+    genders = whole.groupBy("bare").agg(
+        F.max((sign == "f").cast("int")).alias("f"), F.max((sign == "m").cast("int")).alias("m")
+    )
+    known = F.when(F.col("f") + F.col("m") == 1, F.when(F.col("f") == 1, "f").otherwise("m"))
+    gender = F.when(sign == "x", F.coalesce(known, F.lit("x"))).otherwise(sign)
+    whole = whole.join(genders, "bare").withColumn("canonical", F.concat(gender, F.lit(":"), "bare"))
+    family = F.element_at(F.split("bare", " "), -1)
+    persons = whole.groupBy("_id", "_tie", family.alias("family")).agg(
+        F.collect_set("canonical").alias("persons")
+    )
+    fitting = F.filter(
+        "persons",
+        lambda p: (sign == "x") | (F.substring(p, 1, 1) == "x") | (F.substring(p, 1, 1) == sign),
+    )
+    found = F.when(F.size(fitting) == 1, F.element_at(fitting, 1))
+    alone = alone.join(persons, ["_id", "_tie", "family"], "left").withColumn(
+        "canonical", F.coalesce(found, "canonical")
+    )
+    columns = typed.columns
+    return (
+        typed.where("kind <> 'name'")
+        .unionByName(whole.select(*columns))
+        .unionByName(alone.select(*columns))
+    )
+
+
 #: Digits of the surrogate in the places of the mention's digits.
-_IN_PLACES = """array_join(transform(sequence(1, length(mention)), i ->
+_IN_PLACES = """concat(array_join(transform(sequence(1, length(mention)), i ->
     if(substr(mention, i, 1) rlike '[0-9]',
        substr(surrogate, length(regexp_replace(substr(mention, 1, i), '[^0-9]', '')), 1),
-       substr(mention, i, 1))), '')"""
+       substr(mention, i, 1))), ''),
+    substr(surrogate, length(regexp_replace(mention, '[^0-9]', '')) + 1))"""
 
 #: Characters of the surrogate in the places of the mention's, its spaces kept.
-_AROUND_SPACES = """array_join(transform(sequence(1, length(mention)), i ->
+_AROUND_SPACES = """concat(array_join(transform(sequence(1, length(mention)), i ->
     if(substr(mention, i, 1) = ' ', ' ',
-       substr(surrogate, length(replace(substr(mention, 1, i), ' ', '')), 1))), '')"""
+       substr(surrogate, length(replace(substr(mention, 1, i), ' ', '')), 1))), ''),
+    substr(surrogate, length(replace(mention, ' ', '')) + 1))"""
+
+#: The names of the surrogate that a mention has: all, or the family name.
+_NAMES = f"""transform(array(regexp_replace(mention, '^(?:{_TITLE})\\\\.? ', '')), own ->
+    if(contains(own, ' '), surrogate, substring_index(surrogate, ' ', -1)))[0]"""
 
 
 def _written() -> Column:
@@ -203,7 +281,7 @@ def _written() -> Column:
         when kind in ('phone', 'ssn', 'card') then {_IN_PLACES}
         when kind = 'iban' then {_AROUND_SPACES}
         when kind = 'name' then concat(regexp_extract(mention, '^(?:{_TITLE})\\\\.? ', 0),
-            if(mention rlike '\\\\p{{Ll}}{{2}}', surrogate, upper(surrogate)))
+            if(mention rlike '\\\\p{{Ll}}{{2}}', {_NAMES}, upper({_NAMES})))
         when kind in ('email', 'secret') and mention = upper(mention) and mention <> lower(mention)
             then upper(surrogate)
         else surrogate end"""
@@ -236,6 +314,7 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     single = tagged.select("_id", "_tie", F.posexplode(mentions).alias("place", "mention"))
     typed = single.withColumn("kind", _kind(F.col("mention")))
     typed = stored(typed.withColumn("canonical", _canonical(F.col("kind"), F.col("mention"))))
+    typed = stored(resolve(typed))
     replaced = (
         typed.join(assign(typed, key), ["kind", "canonical"])
         .select("_id", "_tie", F.struct("place", _written().alias("new")).alias("new"))

@@ -1,3 +1,4 @@
+import random
 import re
 
 from rivalry.llm import pii
@@ -76,6 +77,60 @@ def test_collisions_try_again(spark):
     assert len(set(made)) == len(rows) and not set(made) & {c for _, c in rows}
 
 
+def test_a_full_form_ends(documents, spark):
+    """All phone numbers of five digits that begin with 1, and all numbers of a small form."""
+    rows = [("phone", f"1{k:04d}") for k in range(10_000)] + [("ssn", str(k)) for k in range(10)]
+    got = pii.assign(spark.createDataFrame(rows, "kind string, canonical string"), "k").collect()
+    made = [(r.kind, r.surrogate) for r in got]
+    assert len(got) == len(set(made)) == len(rows) and not set(made) & set(rows)
+
+
+def test_coreference(documents):
+    """Titles and bare family names tell one person; brute force over pairs of mentions."""
+    out = replaced(
+        documents,
+        [
+            "Dr Anna Lee met Ms Anna Lee. Ms Lee spoke, then Dr. Lee, then Mr Lee.",
+            "Ms Lee alone; Mr Anna Lee Roe and Mr. Roe.",
+            "Ms Eva Stone, Mr Otto Stone: Dr Stone, Ms Stone, Mr STONE",
+            "Mr Kim Day and Ms Kim Day and Dr Kim Day",
+        ],
+    )
+    a = re.fullmatch(r"Dr (\w+) (\w+) met Ms (\w+) (\w+)\. Ms (\w+) spoke, then Dr\. (\w+), then Mr (\w+)\.", out[0])
+    assert a[1] == a[3] and a[2] == a[4] == a[5] == a[6] != a[7] and a[1] in pii.GIVEN["f", "latin"]
+    b = re.fullmatch(r"Ms (\w+) alone; Mr (\w+) (\w+) (\w+) and Mr\. (\w+)\.", out[1])
+    assert b[1] not in a.groups() and b[4] == b[5]
+    c = re.fullmatch(r"Ms (\w+) (\w+), Mr (\w+) (\w+): Dr (\w+), Ms (\w+), Mr (\w+)", out[2])
+    assert c[2] != c[4] and c[5] not in (c[2], c[4]) and c[6] == c[2] and c[7] == c[4].upper()
+    d = re.fullmatch(r"Mr (\w+ \w+) and Ms (\w+ \w+) and Dr (\w+ \w+)", out[3])
+    assert len({d[1], d[2], d[3]}) == 3
+
+
+def test_check_digits_of_ibans(documents):
+    valid = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "FR1420041010050500013M02606"]
+    for new in replaced(documents, valid):
+        plain = new.replace(" ", "")
+        digits = "".join(str(int(c, 36)) for c in plain[4:] + plain[:4])
+        assert int(digits) % 97 == 1 and plain not in [v.replace(" ", "") for v in valid]
+
+
+def test_entities_stay_apart(documents):
+    """Brute force: two mentions get the same surrogate just if they are the same entity."""
+    pick = random.Random(8)
+    entities = []
+    for _ in range(60):
+        digits = "".join(pick.choices("0123456789", k=10))
+        entities.append([f"+1 ({digits[:3]}) {digits[3:6]}-{digits[6:]}", f"+1-{digits[:3]}-{digits[3:6]}-{digits[6:]}"])
+        mail = "".join(pick.choices("ab", k=3)) + str(len(entities)) + "@x.org"
+        entities.append([mail, mail.upper()])
+    texts = [(k, m) for k, e in enumerate(entities) for m in e for _ in range(2)]
+    out = replaced(documents, [m for _, m in texts])
+    names = [re.sub(r"[^a-z0-9]", "", x.lower()) for x in out]
+    by_entity = {k: {n for (j, _), n in zip(texts, names) if j == k} for k in range(len(entities))}
+    assert all(len(x) == 1 for x in by_entity.values())
+    assert len(set().union(*by_entity.values())) == len(entities)
+
+
 def test_no_surrogate_is_a_real_name(spark):
     schema = "kind string, canonical string"
     rows = [("name", "f:anna lee"), ("name", "m:otto lang"), ("name", "x:kim roe")]
