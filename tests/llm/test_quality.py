@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -120,3 +121,39 @@ def test_sample_takes_low_grades_of_rare_languages_first(spark):
     chosen = quality.choose(docs, labels, 400).collect()
     assert len(chosen) == 400 and {r.doc_id for r in chosen} >= set(range(0, 4000, 100))
     assert abs(sum(r.n for r in chosen) - 4000) < 400
+
+
+def test_fit_agrees_with_an_independent_optimiser():
+    """Dense likelihood written out, minimised by plain descent on numerical gradients."""
+    pick = np.random.default_rng(5)
+    n, dim, penalty = 300, 4, 0.01
+    x = pick.integers(0, 3, (n, dim)).astype(float)
+    chance = 1 / (1 + np.exp(np.array([[-1.0], [1.5]]) - x @ np.array([0.8, -0.6, 0.3, 0.0])))
+    grades = (pick.random(n) < chance[0]).astype(int) * (1 + (pick.random(n) < chance[1] / chance[0]))
+    features = [(np.flatnonzero(row).astype(np.int32), row[np.flatnonzero(row)].astype(np.float32)) for row in x]
+    counts = pick.integers(1, 4, n).astype(float)
+
+    def loss(p):
+        total = penalty / 2 * sum(w * w for w in p[:dim])
+        for row, g, c in zip(x, grades, counts, strict=True):
+            above = [1.0, *(1 / (1 + math.exp(t - float(row @ p[:dim]))) for t in p[dim:]), 0.0]
+            total -= c / counts.sum() * math.log(above[g] - above[g + 1])
+        return total
+
+    p = np.array([0.0] * dim + [-1.0, 1.0])
+    for _ in range(250):
+        slope = np.array([(loss(p + e) - loss(p - e)) / 2e-5 for e in 1e-5 * np.eye(len(p))])
+        p = p - 1.0 * slope
+    model = quality.fit_model(features, grades, 3, penalty=penalty, counts=counts)
+    got = np.r_[model.weights[:dim], model.thresholds]
+    assert abs(loss(got) - loss(p)) < 1e-4 and np.abs(got - p).max() < 0.05
+    # the chances by their definition
+    score = model.score(*features[0])
+    want = [1 / (1 + math.exp(t - float(x[0] @ got[:dim]))) for t in got[dim:]]
+    assert np.allclose(model.at_least(score), want, atol=1e-5)
+
+
+def test_very_long_texts(documents, spark, fitted):
+    words = " ".join(f"word{k % 5000}" for k in range(500_000))
+    rows = quality.rate(documents([(1, words), (2, "x" * 3_000_000), (3, words)]), fitted).collect()
+    assert all(0 <= r.tail <= 1 for r in rows) and rows[0].tail == rows[2].tail
