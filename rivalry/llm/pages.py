@@ -43,14 +43,21 @@ CONTENT_ELEMENTS = set("article main".split())
 BOX_WORDS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie "
     "cookies consent gdpr nav navigation navbar menu breadcrumb breadcrumbs sidebar aside widget "
-    "footer comment comments reply replies disqus respond newsletter subscribe signup login popup "
-    "modal overlay pagination pager toolbar masthead contentinfo".split()
+    "footer newsletter subscribe signup login popup modal overlay pagination pager toolbar masthead "
+    "contentinfo".split()
 )
-#: Names of boxes that a section of an article may bear as well.
+#: Names of boxes with what readers wrote.
+READER_WORDS = set("comment comments reply replies disqus respond responses".split())
+#: Names of boxes that a section of an article may bear as its id, made from its heading.
 DOUBTFUL_WORDS = set(
     "notice notices alert discussion share sharing social related recommended recommendations skip "
     "copyright legal disclaimer banner complementary search dialog".split()
 )
+#: Of a name with such a word the others tell no box, but a state, a layout or a category.
+STATE_WORDS = set(
+    "has no not is with without js show hide enabled disabled open closed layout category cat tag "
+    "type format status topic theme template".split()
+)
 CONTENT_WORDS = set("article content post entry story main body articlebody text".split())
 #: Starting one of these ends an open one of the listed elements, up to the listed border.
 ENDS = {
@@ -81,8 +88,9 @@ class Block:
     path: tuple[int, ...]  # numbers of the open block elements, outermost first
     element: str
     in_link: int  # characters inside links
-    region: int  # 1 in an article, -1 in a region outside it, else 0
-    named: int = 0  # 2 in a box named as one outside articles, 1 in one of doubtful name, else 0
+    inside: tuple[tuple[int, str], ...]  # (number, kind) of open elements that say something
+    region: int = 0  # 1 in an article, -1 in a region outside it, else 0
+    named: int = 0  # 3 in a box named for what it is, 2 by part of a name, 1 of doubtful name
 
 
 @dataclass(frozen=True)
@@ -96,7 +104,8 @@ class Weights:
     links: float = -4.0
     article: float = 6.0
     outside: float = -14.0
-    named: float = -5.0
+    likely: float = -5.0
+    named: float = -9.0
     paragraph: float = 1.0
     heading: float = 0.5
     item: float = -0.3
@@ -105,11 +114,21 @@ class Weights:
     cousins: float = 0.2
 
 
-def _region(
-    name: str, attributes: str, inherited: int, named: int, fixed: bool
-) -> tuple[int, int, bool, bool]:
-    """(region, named, whether both hold for all elements inside, whether unseen) of an element."""
-    words, unseen, outside = set(), name in UNSEEN, name in OUTSIDE
+def _names(value: str) -> list[list[str]]:
+    """The words of each name of a class or id; none of names that tell a state or a category."""
+    names = [[p.lower() for p in PART.findall(name)] for name in value.split()]
+    return [words for words in names if words and not STATE_WORDS & set(words)]
+
+
+def _kind(name: str, attributes: str) -> tuple[str, bool]:
+    """(what an element says about its content, '' for nothing, whether it is not shown).
+
+    A class or id names a box by its first or its last word (``ad-slot``, ``page-sidebar``), and for
+    certain if that is all of it; an ``article`` or ``main`` is a box by a whole name only.
+    """
+    unseen, outside = name in UNSEEN, name in OUTSIDE
+    classes: list[list[str]] = []
+    ids: list[list[str]] = []
     if attributes and name not in ("html", "body"):
         for key, value in MARKING.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
@@ -120,34 +139,80 @@ def _region(
             elif key == "role" and value.lower() in OUTSIDE_ROLES:
                 outside = True
             else:
-                words.update(p.lower() for p in PART.findall(value))
-    if fixed:
-        return inherited, named, True, unseen
+                (ids if key == "id" else classes).extend(_names(value))
     if outside:
-        return -1, named, True, unseen
+        return "outside", unseen
     if name in HEADINGS:
         # ids of headings are made from their text
-        return inherited, named, False, unseen
-    good = bool(words & CONTENT_WORDS)
-    box, doubtful = bool(words & BOX_WORDS), bool(words & DOUBTFUL_WORDS)
-    region = inherited
-    if name in ("form", "fieldset") or (name == "header" and inherited < 1):
-        region = -1
-    if box and (not good or name in CONTENT_ELEMENTS):
-        return min(region, 0), 2, False, unseen
-    if doubtful and not good:
-        # in an article only links speak against it
-        named = max(named, 1 if inherited == 1 or name in CONTENT_ELEMENTS else 2)
-    if named < 2 and (name in CONTENT_ELEMENTS or (good and not box and not doubtful)):
-        region = 1
-    return region, named, False, unseen
+        return "", unseen
+    both, content = classes + ids, name in CONTENT_ELEMENTS
+    ends = {w for words in both if not content or len(words) == 1 for w in (words[0], words[-1])}
+    whole = {words[0] for words in both if len(words) == 1}
+    if ends & READER_WORDS or content and {words[0] for words in classes} & {"comment", "reply"}:
+        return "readers", unseen
+    if whole & BOX_WORDS or {words[0] for words in classes if len(words) == 1} & DOUBTFUL_WORDS:
+        return "box", unseen
+    if ends & BOX_WORDS:
+        return "likely", unseen
+    if name in ("form", "fieldset", "header"):
+        return name, unseen
+    if content:
+        return "article", unseen
+    if {w for words in both for w in words} & CONTENT_WORDS:
+        return "good", unseen
+    return ("doubtful" if ends & DOUBTFUL_WORDS else ""), unseen
+
+
+def _place(found: list[Block]) -> None:
+    """Set region and name of the blocks, by the elements they are in, outermost first.
+
+    A page without an article outside of all boxes has it in a box that is misnamed: boxes around
+    an ``article`` or ``main`` then say nothing, and without those, neither does a box or form that
+    holds three fifths of the text that is no link. Boxes of readers' words are no such boxes.
+    """
+    boxes = ("box", "likely", "form", "fieldset", "doubtful")
+    plain, around, size, total = False, set(), {}, 0
+    for block in found:
+        kinds = [kind for _, kind in block.inside]
+        if "outside" in kinds or "readers" in kinds:
+            continue
+        length = max(0, len(block.text) - 2 * block.in_link)
+        total += length
+        for number, kind in block.inside:
+            if kind in boxes:
+                size[number] = size.get(number, 0) + length
+        if "article" in kinds:
+            before = [x for x in block.inside[: kinds.index("article")] if x[1] in boxes]
+            plain |= not before
+            around |= {number for number, _ in before}
+    misnamed = set()
+    if not plain:
+        misnamed = around or {number for number, n in size.items() if 5 * n >= 3 * total > 0}
+    for block in found:
+        region = named = 0
+        for number, kind in block.inside:
+            if kind == "outside":
+                region = -1
+                break
+            if kind in boxes and number in misnamed:
+                continue
+            if kind in ("box", "readers", "likely"):
+                region, named = min(region, 0), max(named, 2 if kind == "likely" else 3)
+            elif kind in ("form", "fieldset") or (kind == "header" and region < 1):
+                region = -1
+            elif kind == "doubtful":
+                # in an article only links speak against it
+                named = max(named, 1 if region == 1 else 2)
+            elif kind in ("article", "good") and named < 2:
+                region = 1
+        block.region, block.named = region, named
 
 
 def blocks(html: str) -> list[Block]:
     """The blocks of a page that hold text, in page order; unclosed elements are tolerated."""
     out: list[Block] = []
-    # an open element: name, number, region, named, fixed, unseen
-    stack: list[tuple[str, int, int, int, bool, bool]] = [("", 0, 0, 0, False, False)]
+    # an open element: name, number, what it and those around it say, whether unseen
+    stack: list[tuple[str, int, tuple, bool]] = [("", 0, (), False)]
     parts: list[str] = []
     linked: list[str] = []
     links = number = 0
@@ -159,14 +224,14 @@ def blocks(html: str) -> list[Block]:
                 path = tuple(e[1] for e in stack if e[0] not in INLINE)
                 inner = next(e for e in reversed(stack) if e[0] not in INLINE)
                 in_link = len(" ".join(unescape("".join(linked)).split()))
-                out.append(Block(text, path, inner[0], in_link, inner[2], inner[3]))
+                out.append(Block(text, path, inner[0], in_link, inner[2]))
             parts.clear()
             linked.clear()
 
     def add(text: str) -> None:
         if stack[-1][0] == "head" and text.strip():
             close(len(stack) - 1)
-        if text and not stack[-1][5]:
+        if text and not stack[-1][3]:
             parts.append(text)
             if links:
                 linked.append(text)
@@ -220,11 +285,13 @@ def blocks(html: str) -> list[Block]:
             continue
         number += 1
         top = stack[-1]
-        region, named, fixed, unseen = _region(name, attributes or "", *top[2:5])
-        stack.append((name, number, region, named, fixed, unseen or top[5]))
+        kind, unseen = _kind(name, attributes or "")
+        inside = (*top[2], (number, kind)) if kind else top[2]
+        stack.append((name, number, inside, unseen or top[3]))
         links += name == "a"
     add(html[last:])
     flush()
+    _place(out)
     return out
 
 
@@ -232,7 +299,8 @@ def score(block: Block, weights: Weights) -> float:
     """Log odds that the block is content."""
     z = weights.base + weights.word * min(block.text.count(" ") + 1, weights.most_words)
     links = min(1.0, block.in_link / len(block.text))
-    z += weights.links * links + weights.named * (0.0, links, 1.0)[block.named]
+    z += weights.links * links
+    z += (0.0, links * weights.likely, weights.likely, weights.named)[block.named]
     if block.text[-1] in ".!?…。:;\"'”»)":
         z += weights.sentence
     if block.element in ("p", "blockquote", "pre"):

@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import pytest
+
 from rivalry.llm import pages
 
 PAGE = """<html><body class="has-sidebar"><header><h2>Site</h2><p>Welcome to this site.</p></header>
@@ -45,6 +47,57 @@ def test_names_do_not_outweigh_an_article():
     assert pages.main_text(f"<article><h1>Title</h1><p>{words}</p>{links}</article>") == f"Title\n{words}"
 
 
+LONG = "A paragraph with enough words to be read as a part of what the page has to say to readers."
+ARTICLE = f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p><p>Short one.</p><p>{LONG}</p>"
+WANT = f"Title\n{LONG}\n{LONG}\nShort one.\n{LONG}"
+MENU = '<ul class="menu"><li><a href="/">Home</a><li><a href="/x">News</a></ul>'
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="has-sidebar"><main>{}</main></div>',
+        '<div class="site sidebar-right"><article>{}</article></div>',
+        '<div id="page" class="no-modal-open"><article>{}</article></div>',
+        '<div class="widget-area"><article>{}</article></div>',
+        '<article class="post-12 post type-post hentry category-advertising tag-menu">{}</article>',
+        '<form id="aspnetForm" action="/"><div class="body-text">{}</div></form>',
+        '<form><div class="page-wrapper"><div class="col-8">{}</div></div></form>',
+        '<div class="layout-with-sidebar"><div class="entry-content">{}</div><div class="sidebar"><p>Other</p></div></div>',
+        '<table><tr><td>{}</td><td class="nav"><a href="/a">A</a></td></tr></table>',
+        '<div class="popup-container"><div role="main"><main id="main">{}</main></div></div>',
+        '<section class="cookies-recipe-category"><article id="post-7">{}</article></section>',
+        '<div class="theme-footer-dark"><article itemprop="articleBody">{}</article></div>',
+    ],
+)
+def test_shapes_of_pages_with_an_article(page):
+    extra = f"<header><p>{LONG}</p></header>{MENU}{{}}<footer><p>{LONG}</p></footer>"
+    assert pages.main_text(f"<html><body class='menu-open'>{extra.format(page.format(ARTICLE))}</body></html>") == WANT
+
+
+@pytest.mark.parametrize(
+    "box",
+    [
+        '<div id="responses"><h3>What readers say</h3><div><p>{0} {0}</p></div><p>{0}</p></div>',
+        '<div class="comment-list"><article class="comment even depth-1"><p>{0} {0}</p></article></div>',
+        '<section class="post-comments"><p>{0} {0} {0} {0}</p></section>',
+        '<div class="notice"><p>{0} {0} {0} {0}</p></div>',
+        '<p class="disclaimer">{0} {0} {0} {0}</p>',
+        '<div class="ad-slot wide"><p>{0}</p></div>',
+        '<div class="related"><article class="teaser"><p>{0}</p></article></div>',
+        '<div class="newsletter-signup"><p>{0}</p><form><input name=m></form></div>',
+        '<aside class="left"><article><p>{0}</p></article></aside>',
+        '<div class="sidebar-right"><article><h3>Teaser</h3><p>{0}</p></article></div>',
+    ],
+)
+def test_boxes_that_go(box):
+    box = box.format(LONG)
+    inside, outside = f"<article>{ARTICLE}{box}</article>", f"<main><div>{ARTICLE}</div></main>{box}"
+    between = f"<article><h1>Title</h1><p>{LONG}</p>{box}<p>{LONG}</p></article>"
+    assert pages.main_text(inside) == WANT and pages.main_text(outside) == WANT
+    assert pages.main_text(between) == f"Title\n{LONG}\n{LONG}"
+
+
 def test_head_without_end_and_formulas():
     words = "A paragraph with enough words to be read as a part of what the page has to say."
     head = "<html><head><title>No text</title><meta charset=utf-8><style>p{}</style><link href=x>"
