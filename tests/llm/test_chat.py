@@ -1,3 +1,7 @@
+import random
+
+import pytest
+
 from rivalry.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, place int, a string"
@@ -38,12 +42,14 @@ def test_snapshots_collapse(spark):
     assert got[4][2] == "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nx<|im_end|>\n"
 
 
-def test_random_conversations(spark):
-    import random
-
+@pytest.mark.parametrize("hot_rows", [None, 4])
+def test_random_conversations(spark, hot_rows):
+    """Whether a conversation is one scan or cut into chunks makes no difference."""
     pick = random.Random(3)
     rows = [r for c in range(150) for r in said(c, *pick.choices("abc", k=pick.randint(1, 5)))]
-    assert {k: v[:2] for k, v in rendered(frame(spark, rows)).items()} == brute(rows)
+    rows += said(200, *"abcabcabcabcabcabcabc") + said(201, *"abcabcabcabcabcab") + said(202, *"abcabcabcabcabcac")
+    got = {r.conv_id: (r.n_turns, r.n_copies) for r in chat.render(frame(spark, rows), hot_rows).collect()}
+    assert got == brute(rows)
 
 
 def test_odd_rows(spark):
