@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from rivalry.llm import queries
+from rivalry.session import stored_so_far
 from tests.llm.conftest import ODD
 from tools.check_queries import TABLES, normal
 
@@ -82,3 +83,11 @@ def test_texts_that_share_an_id_are_judged_apart(documents, spark):
         (None, "no id here"), (None, None), (5, long), (7, "only here"), (7, "and this"), (3, "two of one text"),
     ]
     assert sorted(map(str, kept.collect())) == sorted(map(str, documents(want).collect()))
+
+
+def test_stages_leave_nothing_but_their_result(spark):
+    """Of all that the stages store only the last result is left, for the lazy last stage."""
+    before = stored_so_far()
+    rows = corpus_pipeline.run(spark, SF).count()
+    assert rows > 0 and stored_so_far() == before + 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(corpus_pipeline.BATCH)
