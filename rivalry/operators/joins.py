@@ -237,7 +237,8 @@ def two_sided_asof(
         F.col(entity).alias("__entity"),
         F.col(time).cast(kind).alias("__time"),
         *[F.col(c).alias(v) for c, v in zip(features, values, strict=True)],
-    )
+        # a wide table in few compressed bytes is no table to broadcast
+    ).hint("merge")
     at_time = ["__entity", "__time"]
     ties = history.select(F.col(entity).alias("__entity"), F.col(time).cast(kind).alias("__time"))
     many = hot_keys(ties, at_time, hot_rows) if hot_rows is not None else None
