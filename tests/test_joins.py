@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rivalry.operators import joins as J
 from rivalry.operators.sample import complement
 from rivalry.operators.skew import hot_keys, spread_join
+from rivalry.session import laid_out, wide_parts
 
 DAY = dt.date(2020, 1, 1)
 
@@ -61,6 +62,19 @@ def contest_rows(spark):
     return spark.createDataFrame(data, "contest int, entity_id string, day date, entity_win boolean")
 
 
+def test_wide_rows_come_in_many_parts(spark):
+    """Whatever ``spark.sql.shuffle.partitions`` says: a task sorts its part of the rows."""
+    df = spark.createDataFrame([(1, 1), (1, 2)], "contest int, entity_id int")
+    paired = J.pair_contestants(df, "contest", "entity_id", ("entity", "opponent"), [])
+    parts = wide_parts(spark)
+    assert parts >= 16 * 8 and parts % 4 == 0
+    assert "hashpartitioning(contest#" in (plan := paired._jdf.queryExecution().executedPlan().toString())
+    assert f", {parts})" in plan and plan.count("hashpartitioning") == 1
+    table, _ = laid_out(paired, ["entity_id"], ["contest"])
+    counted = table.groupBy("entity_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in counted and f"{parts} out of {parts}" in counted
+
+
 def test_pair_contestants(spark, rows):
     df = contest_rows(spark)
     got = J.pair_contestants(df, "contest", "entity_id", ("entity", "opponent"), ["day"])
