@@ -240,9 +240,13 @@ def two_sided_asof(
         F.col(entity).alias("__entity"),
         F.col(time).cast(kind).alias("__time"),
         *[F.col(c).alias(v) for c, v in zip(features, values, strict=True)],
-        # a wide table in few compressed bytes is no table to broadcast
-    ).hint("merge")
+    )
     at_time = ["__entity", "__time"]
+    # Buckets of the entity serve both joins, unless contests have a key too large for a task.
+    probed = [opponent] if own and busy.keys is None else [entity, opponent]
+    if any(find_busy(contests.select(key), [key], hot_rows).keys is not None for key in probed):
+        past = past.repartition(*at_time)
+    past = past.hint("merge")  # a wide table in few compressed bytes is no table to broadcast
     ties = history.select(F.col(entity).alias("__entity"), F.col(time).cast(kind).alias("__time"))
     many = hot_keys(ties, at_time, hot_rows) if hot_rows is not None else None
     rows, kept = require_all(keyed), list(contests.columns)

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -221,3 +222,34 @@ def test_previous_own_time(spark, rows):
     own = J.previous_own_time(df, "entity_id", "day", "before")
     looked_up = J.previous_time(df, df, "entity_id", "day", "before", hot_rows=None)
     assert rows(own) == rows(looked_up, *own.columns)
+
+
+@pytest.mark.parametrize("hot_rows", [1000, 20])
+def test_lookups_read_the_buckets_of_a_history(spark, rows, hot_rows):
+    """Its wide rows are not shuffled again, unless a contestant of the contests is hot."""
+    data = [(e, (e + i) % 7, i, float(e * i)) for e in range(7) for i in range(1, 12)]
+    data += [(9, 1, i, 0.5) for i in range(1, 4)]
+    history = spark.createDataFrame(data, "fighter_id long, opponent_id long, day long, fighter_x double")
+    contests = history.select("fighter_id", "opponent_id", "day")
+    contests = contests.unionAll(contests.where("opponent_id = 1")).unionAll(contests.where("opponent_id = 1"))
+    past = history.drop("opponent_id")
+    table, _ = laid_out(past, ["fighter_id"], ["day"])
+    side = ("fighter_", "opponent_")
+
+    def looked_up(df):
+        return J.two_sided_asof(contests, df, "fighter_id", "opponent_id", "day", side, hot_rows)
+
+    got = looked_up(table)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("hashpartitioning(__entity" in plan and "__time" in plan) is True
+    assert bool(re.search(r"hashpartitioning\(__entity#\d+L?, __time", plan)) == (hot_rows == 20)
+    last = {}
+    for e, _, day, x in data:
+        last[e, day] = x
+    want = []
+    for e, o, day in [tuple(r) for r in contests.collect()]:
+        mine = [d for f, d in last if f == e and d < day]
+        theirs = [d for f, d in last if f == o and d < day]
+        if mine and theirs:
+            want.append((e, o, day, last[e, max(mine)], last[o, max(theirs)]))
+    assert rows(got) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
