@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rivalry.operators import cleanse as C
 from rivalry.operators import encode as E
 from rivalry.operators.columns import listed_names
+from rivalry.plans.cleansing import clean_contests
 
 
 def test_names(spark):
@@ -134,3 +135,18 @@ def test_names_of_columns_are_bounded(spark):
     assert listed_names(names, 2) == ["a", "b"]
     with pytest.raises(ValueError, match="long form"):
         listed_names(names, 1)
+
+
+def test_raw_contests_are_evaluated_once(spark, rows):
+    """The formats and the typed rows come from one reading of the raw table."""
+    shared = ["Fight ID", "Event Url", "Event Name", "Bout", "Method", "Round"]
+    sides = [f"Fighter{i} {c}" for i in (1, 2) for c in ("Name", "Url", "Status")]
+    raw = spark.createDataFrame(
+        [("f", "e/1", "E", "Fly Bout", "KO", "2", "A", "p/a", "W", "B", "p/b", "L", "10%")],
+        [*shared, *sides, "Fighter1_Overall_KD"],
+    ).withColumn("Fighter2_Overall_KD", F.concat(F.col("Fighter1_Overall_KD"), F.lit("MARK")))
+    raw = raw.withColumn("Fighter2_Overall_KD", F.replace("Fighter2_Overall_KD", F.lit("MARK"), F.lit("")))
+    weights = spark.createDataFrame([("f", "Fly")], ["Fight Url", "Weight Class"])
+    got = clean_contests(raw, weights, True)
+    assert "MARK" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got, "fighter_id", "fight_fighter_win", "fight_fighter_overall_kd") == [("a", True, 0.1), ("b", False, 0.1)]

@@ -115,3 +115,17 @@ def test_column_totals(spark, rows):
     assert rows(stats.column_totals(df, ["a", "b"])) == [
         ("a", 2, 2, 3.0, 1.5, True), ("b", 2, 1, 0.0, 0.0, False),
     ]
+
+
+def test_exact_split_hashes_rows_of_one_key_only(spark):
+    """A row whose key tells its side is not hashed: of the others, no column can be read."""
+    import hashlib
+
+    tag = {k: hashlib.md5(f"42:{k}".encode()).hexdigest() for k in range(200)}
+    last = sorted(tag.values())[50 - 1]
+    near = [k for k in tag if tag[k][: sample.DIGITS] == last[: sample.DIGITS]]
+    unread = F.when(~F.col("id").isin(near), F.raise_error(F.lit("read")).cast("int"))
+    df = spark.range(200).withColumn("x", unread)
+    part, rest = sample.exact_split(df, ["id"], 0.25)
+    assert sorted(r["id"] for r in part.select("id").collect()) == [k for k in tag if tag[k] <= last]
+    assert rest.select("id").count() == 150
