@@ -253,3 +253,25 @@ def test_lookups_read_the_buckets_of_a_history(spark, rows, hot_rows):
         if mine and theirs:
             want.append((e, o, day, last[e, max(mine)], last[o, max(theirs)]))
     assert rows(got) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_busy_ties_are_dealt_out_beside_tables_in_buckets(spark):
+    """Also in a session in which joins may use rows that come by some of their columns."""
+    right = spark.range(400).select(F.when(F.col("id") < 300, "busy").otherwise("e").alias("k"), F.col("id").alias("x"))
+    left = spark.createDataFrame([(1, "busy"), (2, "e")], "n int, k string")
+    many = hot_keys(right, ["k"], 40)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = spread_join(left, right, ["k"], many, 40)
+        assert joined.count() == 400
+        assert joined.where("k = 'busy'").select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
